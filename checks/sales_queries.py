@@ -172,7 +172,7 @@ _PROMO_DAYS = f"""SELECT p.item_code, p.day_dt, offer_code, osd_type, flag, {",
     FROM (SELECT DISTINCT item_code, day_dt FROM panel) p LEFT JOIN best b ON p.item_code = b.item AND p.day_dt = b.day_dt
     LEFT JOIN (SELECT panel.item_code, median(retail_price) AS med FROM panel LEFT JOIN best ON panel.item_code = item AND panel.day_dt = best.day_dt GROUP BY 1) m
       ON p.item_code = m.item_code"""
-_FEATURES = f"""SELECT panel.item_code, panel.store_id, panel.day_dt, area_idnt, loc_wh, store_type, weekday, day_type, is_5th, activity_desc,
+_FEATURES = f"""SELECT panel.item_code, panel.store_id, panel.day_dt, area_idnt, loc_wh, store_type, loc_selling_area, pds_grace, year, month, weekday, day_type, is_5th, activity_desc,
         s.ttl_quantity, item_desc, sbclass_desc, item_brand, {", ".join(f"f.{c}" for c in ["offer_code", "osd_type", "flag", *_FLAGS, "required_num", "retail_price", "amount", "prom_price", "unit_price", "p_rate"])}
     FROM (SELECT * FROM ({_PANEL}) LEFT JOIN calendar USING (day_dt)) panel JOIN store USING (store_id)
     LEFT JOIN sales_capped s ON s.item_code = panel.item_code AND s.store_id = panel.store_id AND s.day_dt = panel.day_dt
@@ -203,12 +203,15 @@ def feature_rows(spark: SparkSession, d: str, encode: tuple[str, ...] = (), code
     return build_features(inputs, *OFFER_SPAN, encode=encode, outlier_quantity=40, min_day="1996-01-01")
 
 
+t.TABLES["features"] = ((*_PANEL_NEEDS, "promo_days", "sales_capped", "product"), _FEATURES)
+
+
 @query(
     f"""SELECT item_code, store_id, area_idnt, loc_wh, store_type, sbclass_desc, item_brand, count(*) AS n, sum(ttl_quantity) AS ttl_quantity,
         min(day_dt) AS first_day, count(offer_code) AS n_offer, max(offer_code) AS top_offer, min(osd_type) AS osd_type, max(flag) AS flag,
         {", ".join(f"sum({c}) AS {c}" for c in [*_FLAGS, "required_num"])}, {", ".join(f"{near_sql(f'avg({c})')} AS {c}" for c in _MONEY)}
-    FROM ({_FEATURES}) GROUP BY ALL""",
-    (*_PANEL_NEEDS, "promo_days", "sales_capped", "product"),
+    FROM features GROUP BY ALL""",
+    ("features",),
 )
 def feature_table(spark: SparkSession, d: str) -> DataFrame:
     """The whole feature table, reported per item and store."""

@@ -1,5 +1,7 @@
 """Incremental ingest of arriving sales files into a daily table."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,18 +10,31 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfwise.operators.lookup import allowed_only
 
 DAILY_KEYS = ["item_code", "store_id", "day_dt"]
+PERIOD = "period_start"
 
 
 class DailySalesIngest:
-    """Takes every arriving sales file once and refreshes the days it touches.
+    """Takes every arriving sales file once and refreshes the periods it touches.
 
-    A batch first writes its own partition of the ledger, then recomputes the touched days from the
-    whole ledger and replaces just their partitions. Both steps overwrite, so a batch that is repeated
-    after a failure leaves the same tables.
+    A batch first writes its own partitions of the ledger, then recomputes the touched periods from the
+    whole ledger and replaces just their partitions. A period is a month, or any unit `trunc` knows. Both steps overwrite, so a batch that is repeated
+    after a failure leaves the same tables. `prepare` turns the files' columns into item, store, day and
+    `ttl_quantity`.
     """
 
-    def __init__(self, spark: SparkSession, incoming: str, schema: T.StructType, base: str, files_per_batch: int = 1000):
+    def __init__(
+        self,
+        spark: SparkSession,
+        incoming: str,
+        schema: T.StructType,
+        base: str,
+        files_per_batch: int = 1000,
+        period: str = "month",
+        prepare: Callable[[DataFrame], DataFrame] = lambda arrived: arrived,
+    ):
         self.spark = spark
+        self.period = period
+        self.prepare = prepare
         self.incoming = incoming
         self.schema = schema
         self.ledger = f"{base}/ledger"
@@ -45,27 +60,27 @@ class DailySalesIngest:
         )
 
     def _take_batch(self, batch: DataFrame, batch_id: int) -> None:
-        lines = batch.groupBy(*DAILY_KEYS).agg(F.sum("ttl_quantity").alias("ttl_quantity"))
-        _replace_partitions(lines.withColumn("batch_id", F.lit(batch_id)), self.ledger, ["day_dt", "batch_id"])
-        spark = batch.sparkSession
-        ledger = spark.read.parquet(self.ledger)
-        touched = ledger.where(F.col("batch_id") == batch_id).select("day_dt").distinct()
+        lines = self.prepare(batch).groupBy(*DAILY_KEYS).agg(F.sum("ttl_quantity").alias("ttl_quantity"))
+        placed = lines.withColumns({PERIOD: F.trunc("day_dt", self.period), "batch_id": F.lit(batch_id)})
+        _replace_partitions(placed, self.ledger, [PERIOD, "batch_id"])
+        ledger = batch.sparkSession.read.parquet(self.ledger)
+        touched = ledger.where(F.col("batch_id") == batch_id).select(PERIOD).distinct()
         refreshed = (
             ledger.where(F.col("batch_id") <= batch_id)
-            .transform(allowed_only, touched, ["day_dt"])
-            .groupBy(*DAILY_KEYS)
+            .transform(allowed_only, touched, [PERIOD])
+            .groupBy(PERIOD, *DAILY_KEYS)
             .agg(F.sum("ttl_quantity").alias("ttl_quantity"))
         )
-        _replace_partitions(refreshed, self.daily, ["day_dt"])
+        _replace_partitions(refreshed, self.daily, [PERIOD])
 
     def table(self) -> DataFrame:
         """The daily table as it is now."""
-        return self.spark.read.parquet(self.daily)
+        return self.spark.read.parquet(self.daily).drop(PERIOD)
 
 
 def _replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
     (
-        df.hint("rebalance", "day_dt")
+        df.hint("rebalance", PERIOD)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
