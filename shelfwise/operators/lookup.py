@@ -2,19 +2,43 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+GRID_LINES = 64
+GRID_COLUMNS = 16
+SALTS = 16
 
-def every_pair(left: DataFrame, right: DataFrame, right_key: str, slots: int = 64) -> DataFrame:
-    """Each left row with each right row, as an equi-join over slots.
 
-    A right row lives in one slot, a left row is copied to every slot, so the work spreads evenly over
-    the slots whatever the sizes and neither side has to fit in one executor.
+def every_pair(left: DataFrame, right: DataFrame, right_key: str, left_key: str = "item_code") -> DataFrame:
+    """Each left row with each right row, as an equi-join over a grid of slots.
+
+    A left row belongs to one grid line and is copied along it, a right row belongs to one grid column
+    and is copied along that; they meet in exactly one cell. The work spreads evenly over the cells
+    whatever the sizes, and neither side has to fit in one executor.
+    """
+
+    def slot(key: str, slots: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+
+    def all_slots(slots: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
+
+    lines = left.withColumn("_line", slot(left_key, GRID_LINES)).withColumn("_column", all_slots(GRID_COLUMNS))
+    columns = right.withColumn("_column", slot(right_key, GRID_COLUMNS)).withColumn("_line", all_slots(GRID_LINES))
+    return lines.join(columns, ["_line", "_column"]).drop("_line", "_column")
+
+
+def spread_join(df: DataFrame, groups: DataFrame, key: str, spread_by: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Inner join of rows with one row per key, for a key that may hold much of the table.
+
+    The rows of a key are spread over `salts` sub-keys by other columns and the groups are copied to each
+    of them. An aggregation by the key that follows then has to shuffle partial results instead of
+    staying in the one task that holds the key.
     """
-    spread = right.withColumn("_slot", F.pmod(F.xxhash64(right_key), F.lit(slots)).cast("int"))
-    copied = left.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    return copied.join(spread, "_slot").drop("_slot")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [key, "_salt"]).drop("_salt")
 
 
 def with_match_flag(df: DataFrame, right: DataFrame, on: Sequence[str], flag: str = "matched") -> DataFrame:

@@ -16,6 +16,7 @@ from shelfwise.constants import (
 )
 from shelfwise.functions.dates import day, days_from
 from shelfwise.functions.scalar import date_or_null, discount_rate, id_text, number_or_null
+from shelfwise.operators.lookup import SALTS, spread_join
 
 VALIDITY = ["offer_start_date", "offer_end_date"]
 
@@ -31,58 +32,95 @@ def ingest_offers(raw: DataFrame) -> DataFrame:
     )
 
 
+def _clip(offers: DataFrame, start: str | date, end: str | date) -> DataFrame:
+    """Offers that are valid inside the horizon, with their first and last day there."""
+    return offers.where(
+        (F.col("offer_start_date") <= F.col("offer_end_date"))
+        & (F.col("offer_start_date") <= day(end))
+        & (F.col("offer_end_date") >= day(start))
+    ).withColumns(
+        {
+            "_first": F.greatest(F.col("offer_start_date"), day(start)),
+            "_last": F.least(F.col("offer_end_date"), day(end)),
+        }
+    )
+
+
 def expand_offers(offers: DataFrame, start: str | date, end: str | date) -> DataFrame:
     """One row per offer and valid day inside the horizon, both ends included.
 
     The validity is clipped to the horizon before it is expanded, so an open-ended offer costs no more
     rows than the horizon has days and no interval comparison is left for the join.
     """
-    first = F.greatest(F.col("offer_start_date"), day(start))
-    last = F.least(F.col("offer_end_date"), day(end))
+    clipped = _clip(offers, start, end)
+    return clipped.withColumn("day_dt", F.explode(days_from(F.col("_first"), F.col("_last")))).drop("_first", "_last")
+
+
+def offer_segments(offers: DataFrame, start: str | date, end: str | date) -> DataFrame:
+    """One row per offer and stretch of days on which the item's set of offers does not change.
+
+    Stretches begin and end where any offer of the item does (`segment_start`, `segment_end`, both
+    included). An offer of three weeks that meets no other is one row instead of 21. The list of edges of
+    an item is never longer than the horizon has days.
+    """
+    clipped = _clip(offers, start, end)
+    edges = (
+        clipped.select("item", F.explode(F.array("_first", F.date_add("_last", 1))).alias("_edge"))
+        .groupBy("item")
+        .agg(F.sort_array(F.collect_set("_edge")).alias("_edges"))
+    )
+    begin = F.array_position("_edges", F.col("_first")).cast("int")
+    length = (F.array_position("_edges", F.date_add("_last", 1)) - F.array_position("_edges", F.col("_first"))).cast("int")
+    stretches = F.arrays_zip(F.slice("_edges", begin, length).alias("a"), F.slice("_edges", begin + 1, length).alias("b"))
     return (
-        offers.where(
-            (F.col("offer_start_date") <= F.col("offer_end_date"))
-            & (F.col("offer_start_date") <= day(end))
-            & (F.col("offer_end_date") >= day(start))
+        spread_join(clipped, edges, "item", ["offer_code"])
+        .withColumn("_stretch", F.explode(stretches))
+        .withColumns(
+            {"segment_start": F.col("_stretch")["a"], "segment_end": F.date_sub(F.col("_stretch")["b"], 1)}
         )
-        .withColumn("day_dt", F.explode(days_from(first, last)))
+        .drop("_first", "_last", "_edges", "_stretch")
     )
 
 
-def _price_order(*then: str) -> list[Column]:
+SEGMENT = ["segment_start", "segment_end"]
+
+
+def _price_order() -> list[Column]:
     """Cheapest first, a missing price last, then the offer code and validity to break ties."""
     price = F.coalesce(F.col("unit_price"), F.lit(float("inf")))
-    return [price.alias("p"), F.col("offer_code"), *[F.col(c) for c in VALIDITY], *[F.col(c) for c in then]]
+    return [price.alias("price"), F.col("offer_code"), *[F.col(c) for c in VALIDITY]]
 
 
-def best_offer(expanded: DataFrame, whole_row: bool = False) -> DataFrame:
-    """The cheapest offer of each item and day.
+def best_offer(rows: DataFrame, keys: Sequence[str], whole_row: bool = False) -> DataFrame:
+    """The cheapest offer of each group.
 
     By default each column holds the first non-null value in price order, so a column the cheapest offer
     leaves empty is filled from the next one. `whole_row=True` keeps the cheapest offer as it is.
-    Both are one aggregation with a map-side combine: a hot item spreads over its days, and only one
-    candidate per item, day and task is shuffled.
+    Both are one aggregation with a map-side combine, so only one candidate per group and task is shuffled.
     """
-    keys = ["item", "day_dt"]
-    values = [c for c in expanded.columns if c not in keys]
+    keys = list(keys)
+    values = [c for c in rows.columns if c not in keys]
     if whole_row:
-        ordered = F.struct(*_price_order(*[c for c in values if c not in ("offer_code", *VALIDITY)]))
-        row = F.min(ordered).alias("_best")
-        picked = expanded.groupBy(*keys).agg(row)
+        others = [c for c in values if c not in ("offer_code", *VALIDITY)]
+        picked = rows.groupBy(*keys).agg(F.min(F.struct(*_price_order(), *others)).alias("_best"))
         return picked.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in values])
-    firsts = [
-        F.min(F.when(F.col(c).isNotNull(), F.struct(*_price_order(), F.col(c).alias("v")))).alias(c) for c in values
-    ]
-    picked = expanded.groupBy(*keys).agg(*firsts)
+    order = F.struct(*_price_order())
+    firsts = [F.min(F.when(F.col(c).isNotNull(), F.struct(order.alias("o"), F.col(c).alias("v")))).alias(c) for c in values]
+    picked = rows.groupBy(*keys).agg(*firsts)
     return picked.select(*keys, *[F.col(f"{c}.v").alias(c) for c in values])
 
 
 def promotion_calendar(
     offers: DataFrame, start: str | date, end: str | date, whole_row: bool = False
 ) -> DataFrame:
-    """Expanded offers with their discount rate, reduced to the best one per item and day."""
+    """The best offer of every item and day, with its discount rate.
+
+    The choice is made once per stretch of days with the same offers and expanded to days afterwards.
+    """
     rated = offers.withColumn("p_rate", discount_rate_or_null())
-    return best_offer(expand_offers(rated, start, end), whole_row)
+    best = best_offer(offer_segments(rated, start, end), ["item", *SEGMENT], whole_row)
+    days = days_from(F.col("segment_start"), F.col("segment_end"))
+    return best.withColumn("day_dt", F.explode(days)).drop(*SEGMENT)
 
 
 def discount_rate_or_null() -> Column:
@@ -125,7 +163,11 @@ def offer_size(offers: DataFrame, distinct: bool = False) -> DataFrame:
 
 
 def with_offer_size(df: DataFrame, sizes: DataFrame, missing: int = MISSING_OFFER_SIZE) -> DataFrame:
-    return df.join(sizes, "offer_code", "left").na.fill({"num_items_in_offer": missing})
+    """Adds the offer's size. Most rows have no offer: their join key is spread, so they share no task."""
+    no_offer = F.concat(F.lit("no offer "), F.pmod(F.xxhash64("item_code", "day_dt"), F.lit(64 * SALTS)))
+    sizes = sizes.select(F.col("offer_code").alias("_offer"), "num_items_in_offer")
+    keyed = df.withColumn("_offer", F.coalesce("offer_code", no_offer))
+    return keyed.join(sizes, "_offer", "left").drop("_offer").na.fill({"num_items_in_offer": missing})
 
 
 def with_promotion_age(df: DataFrame, ages: DataFrame, missing: int = MISSING_DAY_OF_PROM) -> DataFrame:
