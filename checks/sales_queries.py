@@ -91,7 +91,8 @@ def _event_daily(spark: SparkSession, d: str) -> DataFrame:
     LEFT JOIN ({_EVENT_DAILY}) s ON c.item_code = s.item_code AND c.day_dt = s.day_dt"""
 )
 def densify_zero_fill(spark: SparkSession, d: str) -> DataFrame:
-    return C.dense_days(_event_daily(spark, d), "2024-02-02", "2024-01-05")
+    daily = _event_daily(spark, d)
+    return C.dense(C.day_spans(daily, "2024-02-02", "2024-01-05"), daily)
 
 
 @query(
@@ -101,7 +102,8 @@ def densify_zero_fill(spark: SparkSession, d: str) -> DataFrame:
     LEFT JOIN ({_EVENT_DAILY}) s ON c.item_code = s.item_code AND c.day_dt = s.day_dt"""
 )
 def dense_own_range(spark: SparkSession, d: str) -> DataFrame:
-    return C.dense_range(_event_daily(spark, d), "item_code", "ttl_quantity")
+    daily = _event_daily(spark, d)
+    return C.dense(C.own_spans(daily), daily)
 
 
 _HISTORY = "SELECT item_idnt AS item_code, loc_idnt AS store_id, day_dt FROM shelf_plan LEFT JOIN calendar USING (wk_idnt)"
@@ -121,7 +123,7 @@ def _items(spark: SparkSession, d: str) -> DataFrame:
 
 def _panel(spark: SparkSession, d: str) -> DataFrame:
     future = N.future_days_of_open_stores(_items(spark, d), t.store(spark, d), *FUTURE)
-    return N.base_panel(_history(spark, d), future, t.calendar(spark))
+    return N.base_panel(_history(spark, d), future, t.calendar(spark), FUTURE[0])
 
 
 @query(f"SELECT * FROM ({_HISTORY})", _PANEL_NEEDS)

@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.dates import day, days_from, is_weekend, week_start, weekday
@@ -37,25 +37,17 @@ def weeks_to_days(shelf_plan: DataFrame, calendar: DataFrame, key: str = "wk_idn
     return shelf_plan.join(calendar, key, "left")
 
 
-def dense_days(
-    series: DataFrame,
-    end: str | date,
-    not_before: str | date,
-    key: str = "item_code",
-    value: str = "ttl_quantity",
-) -> DataFrame:
-    """One row per key and day from max(first sale, `not_before`) to `end`; missing days count 0."""
-    return _fill_days(series, F.greatest(F.min("day_dt"), day(not_before)), day(end), key, value)
+def day_spans(series: DataFrame, end: str | date, not_before: str | date, key: str = "item_code") -> DataFrame:
+    """Per key the days its dense series covers: from max(first day, `not_before`) to `end`."""
+    return series.groupBy(key).agg(F.greatest(F.min("day_dt"), day(not_before)).alias("_first"), day(end).alias("_last"))
 
 
-def dense_range(series: DataFrame, key: str, value: str) -> DataFrame:
-    """One row per key and day between the key's own first and last day."""
-    return _fill_days(series, F.min("day_dt"), F.max("day_dt"), key, value)
+def own_spans(series: DataFrame, key: str = "item_code") -> DataFrame:
+    """Per key its own first and last day."""
+    return series.groupBy(key).agg(F.min("day_dt").alias("_first"), F.max("day_dt").alias("_last"))
 
 
-def _fill_days(series: DataFrame, first: Column, last: Column, key: str, value: str) -> DataFrame:
-    spans = series.groupBy(key).agg(first.alias("_first"), last.alias("_last"))
-    days = spans.select(key, F.explode(days_from(F.col("_first"), F.col("_last"))).alias("day_dt"))
-    return days.join(series.select(key, "day_dt", value), [key, "day_dt"], "left").withColumn(
-        value, F.coalesce(value, F.lit(0.0))
-    )
+def dense(spans: DataFrame, facts: DataFrame, value: str = "ttl_quantity", key: str = "item_code") -> DataFrame:
+    """One row per key and day of its span with the facts of that day; a missing value counts 0."""
+    days = spans.withColumn("day_dt", F.explode(days_from(F.col("_first"), F.col("_last")))).drop("_first", "_last")
+    return days.join(facts, [key, "day_dt"], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))

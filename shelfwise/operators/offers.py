@@ -19,6 +19,7 @@ from shelfwise.functions.scalar import date_or_null, discount_rate, id_text, num
 from shelfwise.operators.lookup import SALTS, spread_join
 
 VALIDITY = ["offer_start_date", "offer_end_date"]
+SEGMENT = ["segment_start", "segment_end"]
 
 
 def ingest_offers(raw: DataFrame) -> DataFrame:
@@ -32,17 +33,18 @@ def ingest_offers(raw: DataFrame) -> DataFrame:
     )
 
 
-def _clip(offers: DataFrame, start: str | date, end: str | date) -> DataFrame:
+Horizon = tuple[str | date, str | date]
+
+
+def _clip(offers: DataFrame, horizon: Horizon | None) -> DataFrame:
     """Offers that are valid inside the horizon, with their first and last day there."""
-    return offers.where(
-        (F.col("offer_start_date") <= F.col("offer_end_date"))
-        & (F.col("offer_start_date") <= day(end))
-        & (F.col("offer_end_date") >= day(start))
-    ).withColumns(
-        {
-            "_first": F.greatest(F.col("offer_start_date"), day(start)),
-            "_last": F.least(F.col("offer_end_date"), day(end)),
-        }
+    first, last = F.col("offer_start_date"), F.col("offer_end_date")
+    valid = offers.where(first <= last)
+    if horizon is None:
+        return valid.withColumns({"_first": first, "_last": last})
+    start, end = day(horizon[0]), day(horizon[1])
+    return valid.where((first <= end) & (last >= start)).withColumns(
+        {"_first": F.greatest(first, start), "_last": F.least(last, end)}
     )
 
 
@@ -52,18 +54,18 @@ def expand_offers(offers: DataFrame, start: str | date, end: str | date) -> Data
     The validity is clipped to the horizon before it is expanded, so an open-ended offer costs no more
     rows than the horizon has days and no interval comparison is left for the join.
     """
-    clipped = _clip(offers, start, end)
+    clipped = _clip(offers, (start, end))
     return clipped.withColumn("day_dt", F.explode(days_from(F.col("_first"), F.col("_last")))).drop("_first", "_last")
 
 
-def offer_segments(offers: DataFrame, start: str | date, end: str | date) -> DataFrame:
+def offer_segments(offers: DataFrame, horizon: Horizon | None = None) -> DataFrame:
     """One row per offer and stretch of days on which the item's set of offers does not change.
 
     Stretches begin and end where any offer of the item does (`segment_start`, `segment_end`, both
     included). An offer of three weeks that meets no other is one row instead of 21. The list of edges of
     an item is never longer than the horizon has days.
     """
-    clipped = _clip(offers, start, end)
+    clipped = _clip(offers, horizon)
     edges = (
         clipped.select("item", F.explode(F.array("_first", F.date_add("_last", 1))).alias("_edge"))
         .groupBy("item")
@@ -82,9 +84,6 @@ def offer_segments(offers: DataFrame, start: str | date, end: str | date) -> Dat
     )
 
 
-SEGMENT = ["segment_start", "segment_end"]
-
-
 def _price_order() -> list[Column]:
     """Cheapest first, a missing price last, then the offer code and validity to break ties."""
     price = F.coalesce(F.col("unit_price"), F.lit(float("inf")))
@@ -118,9 +117,14 @@ def promotion_calendar(
     The choice is made once per stretch of days with the same offers and expanded to days afterwards.
     """
     rated = offers.withColumn("p_rate", discount_rate_or_null())
-    best = best_offer(offer_segments(rated, start, end), ["item", *SEGMENT], whole_row)
+    best = best_offer(offer_segments(rated, (start, end)), ["item", *SEGMENT], whole_row)
+    return segment_days(best)
+
+
+def segment_days(segments: DataFrame) -> DataFrame:
+    """Stretches of days as one row per day."""
     days = days_from(F.col("segment_start"), F.col("segment_end"))
-    return best.withColumn("day_dt", F.explode(days)).drop(*SEGMENT)
+    return segments.withColumn("day_dt", F.explode(days)).drop(*SEGMENT)
 
 
 def discount_rate_or_null() -> Column:
@@ -129,30 +133,24 @@ def discount_rate_or_null() -> Column:
     return F.when(known, discount_rate("unit_price", "retail_price"))
 
 
-def promotion_age(
-    offers: DataFrame,
-    overlap: str = "latest_start",
-    horizon: tuple[str | date, str | date] | None = None,
-) -> DataFrame:
+def promotion_age(offers: DataFrame, overlap: str = "latest_start", horizon: Horizon | None = None) -> DataFrame:
     """Days since the start of each offer (0 on its first day), per item and day.
 
     Where offers overlap, `latest_start` keeps the youngest; `all` keeps a row for every offer.
     """
-    aged = offers.where(F.col("offer_start_date") <= F.col("offer_end_date"))
-    if horizon is not None:
-        aged = expand_offers(aged, *horizon).select(
-            "item", "day_dt", F.datediff("day_dt", "offer_start_date").alias("day_of_prom")
-        )
-    else:
-        aged = aged.select(
-            "item",
-            F.posexplode(days_from(F.col("offer_start_date"), F.col("offer_end_date"))).alias("day_of_prom", "day_dt"),
-        ).select("item", "day_dt", "day_of_prom")
+    validity = offers.select("item", "offer_code", *VALIDITY)
+    age = F.datediff("day_dt", "offer_start_date").alias("day_of_prom")
     if overlap == "all":
-        return aged
+        days = _clip(validity, horizon).select("item", "offer_start_date", F.explode(days_from(F.col("_first"), F.col("_last"))).alias("day_dt"))
+        return days.select("item", "day_dt", age)
     if overlap != "latest_start":
         raise ValueError(f"overlap must be 'latest_start' or 'all', not {overlap!r}")
-    return aged.groupBy("item", "day_dt").agg(F.min("day_of_prom").alias("day_of_prom"))
+    youngest = (
+        offer_segments(validity, horizon)
+        .groupBy("item", *SEGMENT)
+        .agg(F.max("offer_start_date").alias("offer_start_date"))
+    )
+    return segment_days(youngest).select("item", "day_dt", age)
 
 
 def offer_size(offers: DataFrame, distinct: bool = False) -> DataFrame:

@@ -22,7 +22,8 @@ def shelf_plan_days(shelf_plan: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def future_days_given(items: DataFrame, sample: DataFrame) -> DataFrame:
     """Every item on every (day, store) of a given future sample."""
-    return every_pair(items.select("item_code"), sample.select("day_dt", "store_id"), "store_id").select(*PANEL_KEYS)
+    sample = sample.select("day_dt", "store_id").distinct()
+    return every_pair(items.select("item_code").distinct(), sample, "store_id").select(*PANEL_KEYS)
 
 
 def open_store_days(stores: DataFrame, start: str | date, end: str | date) -> DataFrame:
@@ -46,18 +47,21 @@ def future_days_of_open_stores(items: DataFrame, stores: DataFrame, start: str |
         .groupBy("store_id")
         .agg(F.min(first).alias("_first"))
     )
-    pairs = every_pair(items.select("item_code"), open_stores, "store_id")
+    pairs = every_pair(items.select("item_code").distinct(), open_stores, "store_id")
     return pairs.select("item_code", "store_id", F.explode(days_from(F.col("_first"), day(end))).alias("day_dt"))
 
 
-def base_panel(history: DataFrame, future: DataFrame, calendar: DataFrame) -> DataFrame:
+def base_panel(history: DataFrame, future: DataFrame, calendar: DataFrame, future_from: str | date) -> DataFrame:
     """History and future without repeats, with the calendar's columns.
 
-    The calendar depends on the day alone, so the three keys decide what is a repeat and only they are
-    shuffled.
+    The future has one row per key, as the functions above give it, so only history on or after
+    `future_from` can repeat it: the many future rows are compared with those few instead of being
+    shuffled for a distinct. The calendar depends on the day alone and is added last.
     """
-    keys = history.select(*PANEL_KEYS).unionByName(future.select(*PANEL_KEYS)).distinct()
-    return keys.join(calendar.drop("wk_idnt"), "day_dt", "left")
+    past = history.select(*PANEL_KEYS).distinct()
+    late = past.where(F.col("day_dt") >= day(future_from))
+    fresh = future.select(*PANEL_KEYS).join(late, PANEL_KEYS, "left_anti")
+    return past.unionByName(fresh).join(calendar.drop("wk_idnt"), "day_dt", "left")
 
 
 def stack_rows(history: DataFrame, future: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.constants import LOW_SALES_START, OUTLIER_DAYS, OUTLIER_QUANTITY
 from shelfwise.functions.scalar import plausible_sale, ratio, store_key
-from shelfwise.operators.calendar import dense_days
+from shelfwise.operators.calendar import day_spans, dense
 from shelfwise.operators.lookup import allowed_only
 
 
@@ -35,7 +35,8 @@ def item_daily_sales(sales: DataFrame) -> DataFrame:
 
 def low_sales_series(sales: DataFrame, end: str, not_before: str = LOW_SALES_START) -> DataFrame:
     """Gap-free daily series of every item from its first sale (or `not_before`) to `end`."""
-    return dense_days(item_daily_sales(sales), end, not_before)
+    daily = item_daily_sales(sales)
+    return dense(day_spans(daily, end, not_before), daily)
 
 
 def repair_outliers(
