@@ -144,13 +144,13 @@ def panel_future_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT store_id, day_dt, weekday, day_type, is_5th, activity_desc, count(*) AS n_items, count(DISTINCT item_code) AS n_distinct
+    f"""SELECT store_id, day_dt, weekday, day_type, is_5th, activity_desc, count(*) AS n_items, min(item_code) AS first_item
     FROM ({_PANEL}) LEFT JOIN calendar USING (day_dt) GROUP BY ALL""",
     _PANEL_NEEDS,
 )
 def panel_union_distinct(spark: SparkSession, d: str) -> DataFrame:
     return _panel(spark, d).groupBy("store_id", "day_dt", "weekday", "day_type", "is_5th", "activity_desc").agg(
-        F.count(F.lit(1)).alias("n_items"), F.count_distinct("item_code").alias("n_distinct")
+        F.count(F.lit(1)).alias("n_items"), F.min("item_code").alias("first_item")
     )
 
 

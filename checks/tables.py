@@ -18,7 +18,12 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. A file of a single row group is one task however many cores there are, so a local
+    session may ask (`shelfwise.check.spread`) for the two large ones to be dealt out; a cluster's table
+    of many files needs nothing of the kind."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    spread = int(spark.conf.get("shelfwise.check.spread", "0"))
+    return df.repartition(spread) if spread and name in ("lineitem", "orders") else df
 
 
 # --- calendar ---------------------------------------------------------------------------------------

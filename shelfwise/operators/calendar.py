@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.dates import day, days_from, is_weekend, week_start, weekday
+from shelfwise.operators.lookup import fully_spread
 
 
 def calendar_days(spark: SparkSession, start: str | date, end: str | date) -> DataFrame:
@@ -49,5 +50,5 @@ def own_spans(series: DataFrame, key: str = "item_code") -> DataFrame:
 
 def dense(spans: DataFrame, facts: DataFrame, value: str = "ttl_quantity", key: str = "item_code") -> DataFrame:
     """One row per key and day of its span with the facts of that day; a missing value counts 0."""
-    days = spans.withColumn("day_dt", F.explode(days_from(F.col("_first"), F.col("_last")))).drop("_first", "_last")
+    days = fully_spread(spans, key).withColumn("day_dt", F.explode(days_from(F.col("_first"), F.col("_last")))).drop("_first", "_last")
     return days.join(facts, [key, "day_dt"], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))

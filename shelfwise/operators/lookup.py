@@ -10,6 +10,16 @@ GRID_COLUMNS = 16
 SALTS = 16
 
 
+def fully_spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partitioned over the session's full number of shuffle partitions.
+
+    For rows that are about to be multiplied: run-time coalescing goes by their size before that and
+    would leave the many rows to a few tasks, but it keeps a number of partitions that was asked for.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)
+
+
 def every_pair(left: DataFrame, right: DataFrame, right_key: str, left_key: str = "item_code") -> DataFrame:
     """Each left row with each right row, as an equi-join over a grid of slots.
 
@@ -26,7 +36,8 @@ def every_pair(left: DataFrame, right: DataFrame, right_key: str, left_key: str
 
     lines = left.withColumn("_line", slot(left_key, GRID_LINES)).withColumn("_column", all_slots(GRID_COLUMNS))
     columns = right.withColumn("_column", slot(right_key, GRID_COLUMNS)).withColumn("_line", all_slots(GRID_LINES))
-    return lines.join(columns, ["_line", "_column"]).drop("_line", "_column")
+    cell = ["_line", "_column"]
+    return fully_spread(lines, *cell).join(fully_spread(columns, *cell), cell).drop(*cell)
 
 
 def spread_join(df: DataFrame, groups: DataFrame, key: str, spread_by: Sequence[str], salts: int = SALTS) -> DataFrame:
