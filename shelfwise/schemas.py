@@ -5,8 +5,17 @@ from pyspark.sql import types as T
 from shelfwise.constants import OFFER_PRICES, PROMOTION_FLAGS, PROMOTION_LABELS
 
 
+KINDS = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def _struct(**columns: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in columns.items()))
+    return T.StructType([T.StructField(name, KINDS[kind]) for name, kind in columns.items()])
 
 
 SALES = _struct(
