@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from checks import tables as t
 from checks.registry import near, near_sql, query, rounded
 from checks.tables import OFFER_SPAN, SPLITS
-from shelfwise.constants import FLOOR_TYPE_MAP, GRADE_MAP, LOCATION_TYPE_MAP
+from shelfwise.constants import FLOOR_TYPE_MAP, GRADE_MAP, LOCATION_TYPE_MAP, STORE_ATTRIBUTES
 from shelfwise.functions.dates import is_weekend, weekday
 from shelfwise.functions.scalar import fold_year
 from shelfwise.operators import clean as K
@@ -145,6 +145,32 @@ def valid_store_filter(spark: SparkSession, d: str) -> DataFrame:
     return K.physical_stores(organisation).select("store_id", "area_idnt")
 
 
+@query(
+    """SELECT CAST(s_suppkey AS VARCHAR) AS store_id, CAST(n_regionkey AS VARCHAR) AS area_idnt, n_name AS loc_wh, r_name AS store_type, s_acctbal AS loc_selling_area
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey BETWEEN 1 AND 4 AND s_acctbal > 0"""
+)
+def store_dimension(spark: SparkSession, d: str) -> DataFrame:
+    organisation = (
+        t.table(spark, d, "supplier")
+        .join(t.table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(t.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            F.col("s_suppkey").alias("loc_idnt"), F.col("n_regionkey").cast("string").alias("area_idnt"), F.col("n_name").alias("loc_wh"),
+            F.col("r_name").alias("store_type"), F.col("s_acctbal").alias("loc_selling_area"), F.lit("N").alias("is_e_store"), F.lit("S").alias("loc_type_cde"),
+            F.when(F.col("s_acctbal") <= 0, F.lit("2000-01-01").cast("date")).alias("loc_end_dt"),
+        )
+    )
+    unknown = [c for c in STORE_ATTRIBUTES if c not in organisation.columns]
+    stores = K.store_dimension(organisation.withColumns({c: F.lit(None).cast("string") for c in unknown}))
+    return stores.select("store_id", "area_idnt", "loc_wh", "store_type", "loc_selling_area")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS item_code, p_name AS item_desc, p_type AS sbclass_desc, p_brand AS item_brand FROM part")
+def product_dimension(spark: SparkSession, d: str) -> DataFrame:
+    named = {"p_partkey": "item_idnt", "p_name": "item_desc", "p_type": "sbclass_desc", "p_brand": "item_brand"}
+    return K.product_dimension(t.table(spark, d, "part").withColumnsRenamed(named))
+
+
 # --- encoding ---------------------------------------------------------------------------------------
 
 

@@ -72,6 +72,13 @@ LOW_SALES_START = "2020-04-01"
 PANDEMIC_MONTHS = ["2020-01", "2020-02", "2020-03"]
 PANDEMIC_SPAN = ("2020-01-01", "2020-04-01")
 
+# Attributes kept of a store.
+STORE_ATTRIBUTES = [
+    "distt_idnt", "regn_idnt", "area_idnt", "mkt_idnt", "store_type", "loc_fmt_cde", "loc_selling_area",
+    "loc_tot_area", "pds_location_type_en", "pds_mtg_type", "pds_store_segmentation", "pds_grace",
+    "pds_floor_type", "city_tier", "zone_id", "is_intracity_dlvr_store", "loc_wh", "is_central_store",
+]
+
 # Acceptance band of sell-through and result labels.
 PASS_BAND = (0.65, 1.2)
 MODEL_ID = "SC_A5_LGBM_V1"

@@ -13,6 +13,7 @@ from shelfwise.constants import (
     PANDEMIC_SPAN,
     PROMOTION_FLAGS,
     STORE_AREAS,
+    STORE_ATTRIBUTES,
     TEXT_COLUMNS,
     VALUE_MAPS,
 )
@@ -48,6 +49,15 @@ def physical_stores(organisation: DataFrame, areas: Iterable[str] = STORE_AREAS)
     )
 
 
+def store_dimension(organisation: DataFrame) -> DataFrame:
+    """Open physical stores under this library's column names."""
+    return physical_stores(organisation).select(F.col("loc_idnt").cast("string").alias("store_id"), *STORE_ATTRIBUTES)
+
+
+def product_dimension(products: DataFrame) -> DataFrame:
+    return products.select(F.col("item_idnt").cast("string").alias("item_code"), "item_desc", "sbclass_desc", "item_brand")
+
+
 def stores_with_warehouse(stores: DataFrame) -> DataFrame:
     return stores.where(F.col("loc_wh").isNotNull())
 

@@ -14,9 +14,11 @@ Windows = Mapping[str, tuple[str, str]]
 
 
 def in_windows(df: DataFrame, windows: Windows, name: str = "window") -> DataFrame:
-    """One row per window that holds the day (both ends included)."""
+    """One row per window that holds the day (both ends included). Other days are filtered at the scan."""
+    spans = windows.values()
+    covered = between_days("day_dt", min(a for a, _ in spans), max(b for _, b in spans))
     labels = F.array(*[F.when(between_days("day_dt", *span), F.lit(label)) for label, span in windows.items()])
-    return df.withColumn(name, F.explode(F.array_compact(labels)))
+    return df.where(covered).withColumn(name, F.explode(F.array_compact(labels)))
 
 
 def sell_through(scored: DataFrame, windows: Windows, digits: int = 4) -> DataFrame:

@@ -42,11 +42,12 @@ def with_split(df: DataFrame, splits: Splits, inclusive: bool = False, column: s
         "v2": between_days(d, *splits.v2),
         "test": between_days(d, *splits.test),
     }
+    covered = df.where(between_days(d, splits.history_start, splits.test[1]))
     if inclusive:
-        labels = F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in members.items()]), lambda x: x.isNotNull())
-        return df.withColumn("split", F.explode(labels))
+        labels = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in members.items()]))
+        return covered.withColumn("split", F.explode(labels))
     label = F.coalesce(*[F.when(c, F.lit(k)) for k, c in members.items()])
-    return df.withColumn("split", label).where(F.col("split").isNotNull())
+    return covered.withColumn("split", label).where(F.col("split").isNotNull())
 
 
 def day_weight(start: str, end: str, power: float = 4, column: str | Column = "day_dt") -> Column:

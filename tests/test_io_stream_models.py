@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
-from shelfwise.operators.split import Splits
+from shelfwise.operators.split import Splits, with_split
 from shelfwise.plans import forecast as M
+from shelfwise.plans.forecast_round import forecast_round, low_sales_round
 from shelfwise.plans.pooled import pooled_items, pooled_table
 from shelfwise.plans.settings import SUBCLASS_FEATURES, ForecastSettings
 from shelfwise.plans.training_set import model_table, with_sample_weight
@@ -188,3 +189,37 @@ def test_pooled_set(spark):
     schedule = spark.createDataFrame([(date(2020, 4, 2), 6)], "day_dt date, schedule_ix int")
     table = pooled_table(rows_, items, more, lunar, actual, settings, schedule)
     assert rows(table.select("item_code", "schedule_ix").distinct()) == [("1", 6)]
+
+
+def round_table(spark):
+    n = F.col("id")
+    return spark.range(8000).select(
+        F.date_add(F.lit(DAY), (n % 101).cast("int")).alias("day_dt"),
+        (n % 7).cast("string").alias("store_id"),
+        F.concat(F.lit("i"), (n % 3).cast("string")).alias("item_code"),
+        F.when(n % 7 < 3, "north").otherwise("south").alias("loc_wh"),
+        (n % 5).cast("double").alias("unit_price"),
+        # item i2 jumps in validation, so its forecast misses the gate
+        ((n % 3) * 10 + 5 + F.when((n % 3 == 2) & (n % 101 >= 60), 500.0).otherwise(0.0)).alias("ttl_quantity"),
+    )
+
+
+def test_forecast_round(spark):
+    horizons = (("2020-04-01", "2020-04-05"), ("2020-04-06", "2020-04-10"))
+    settings = ForecastSettings(splits=SPLITS, features=("unit_price",), pass_share=0.75, extra_trees=3, horizons=horizons)
+    table = with_split(round_table(spark), SPLITS)
+    done = forecast_round(table, settings, "2020-05-01 00:00:00", M.TreeLimits(trees=8, step=0.5, depth=3))
+    assert dict(rows(done.gate, "item_code", "passed")) == {"i0": 1, "i1": 1, "i2": 0}
+    assert rows(done.results.select("item_code", "istest").distinct()) == [("i0", 1), ("i1", 1)]
+    means = dict(rows(done.results.groupBy("item_code").agg(F.avg("y_pred"))))
+    assert means["i0"] == pytest.approx(5, abs=2) and means["i1"] == pytest.approx(15, abs=2)
+    assert rows(done.metadata, "item_code", "test_start_time") == [("i0", "2020-04-01"), ("i0", "2020-04-06"), ("i1", "2020-04-01"), ("i1", "2020-04-06")]
+
+
+def test_low_sales_round(spark):
+    table = round_table(spark).groupBy("item_code", "day_dt").agg(F.sum("ttl_quantity").alias("ttl_quantity"), F.avg("unit_price").alias("unit_price"))
+    flat = spark.createDataFrame([("flat", DAY + timedelta(days=i), 1.0, 1.0) for i in range(101)], table.schema)
+    table = table.unionByName(flat).withColumns({"weekday": F.weekday("day_dt"), "day_type": F.lit(0), "is_5th": F.lit(0)})
+    totals = low_sales_round(table, "2020-03-01", {"v1": ("2020-03-01", "2020-03-10"), "v2": ("2020-03-10", "2020-03-20")}, M.TreeLimits(trees=3, depth=3))
+    assert totals.columns == ["item_code", "v1_ttl_quantity", "v1_y_pred", "v2_ttl_quantity", "v2_y_pred"]
+    assert rows(totals, "item_code") == ["i0", "i1", "i2"]
