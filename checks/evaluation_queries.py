@@ -217,7 +217,7 @@ def measured(spark: SparkSession, d: str) -> DataFrame:
 
 
 _LONG = "\nUNION ALL ".join(
-    f"""SELECT item_code, '{f}' AS feature, covar_pop({f}, ttl_quantity) / nullif(stddev_pop({f}) * stddev_pop(ttl_quantity), 0) AS corr FROM measured GROUP BY item_code"""
+    f"""SELECT item_code, '{f}' AS feature, CASE WHEN min({f}) < max({f}) AND min(ttl_quantity) < max(ttl_quantity) THEN covar_pop({f}, ttl_quantity) / (stddev_pop({f}) * stddev_pop(ttl_quantity)) END AS corr FROM measured GROUP BY item_code"""
     for f in ["ttl_quantity", *_FEATURES]
 )
 _TOP = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_code ORDER BY round(abs(corr), 9) DESC NULLS LAST, feature) AS rank FROM ({_LONG})) WHERE rank <= 10"""
@@ -245,7 +245,7 @@ t.TABLES["top_values"] = (
 
 
 @query(
-    f"""SELECT item_code, i, j, {near_sql('coalesce(covar_pop(a, b) / nullif(stddev_pop(a) * stddev_pop(b), 0), 0)', 6)} AS corr
+    f"""SELECT item_code, i, j, {near_sql('coalesce(CASE WHEN min(a) < max(a) AND min(b) < max(b) THEN covar_pop(a, b) / (stddev_pop(a) * stddev_pop(b)) END, 0)', 6)} AS corr
     FROM (SELECT x.item_code, x.rank - 1 AS i, y.rank - 1 AS j, x.v AS a, y.v AS b FROM top_values x JOIN top_values y USING (rn))
     GROUP BY item_code, i, j""",
     ("top_values",),

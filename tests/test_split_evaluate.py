@@ -169,3 +169,18 @@ def test_top_matrix_against_pandas(spark):
         assert np.array(got[item]["data"]) == pytest.approx(corr.loc[top, top].fillna(0).to_numpy(), abs=1e-9)
     text = Y.matrix_json(Y.top_matrix(spark.createDataFrame(frame), "y", features)).first()["corr_json"]
     assert text.startswith('{"col_name":["y"')
+
+
+def test_constant_columns_stay_constant_over_many_partitions(spark):
+    """Merging partial variances of a constant can leave a rest; it must not become a correlation."""
+    table = spark.range(0, 3307, 1, 37).select(
+        F.concat(F.lit("i"), F.pmod(F.xxhash64("id"), F.lit(40))).alias("item_code"),
+        F.rand(1).alias("y"),
+        F.lit(1.1).alias("c"),
+        F.rand(2).alias("x"),
+    )
+    long = Y.target_correlations(table, "y", ["c", "x"])
+    assert rows(long.where("feature = 'c'").select("corr").distinct()) == [None]
+    cells = Y.top_matrix(table, "y", ["c", "x"]).select(F.flatten("data").alias("v"), "col_name")
+    assert rows(cells.select(F.get("col_name", F.lit(2))).distinct()) == ["c"]
+    assert rows(cells.select(F.slice("v", 7, 3).alias("v")).distinct()) == [[0.0, 0.0, 0.0]]
