@@ -121,6 +121,11 @@ def _items(spark: SparkSession, d: str) -> DataFrame:
     return t.shelf_plan(spark, d).select(F.col("item_idnt").alias("item_code")).distinct()
 
 
+def _panel_keys(spark: SparkSession, d: str) -> DataFrame:
+    future = N.future_days_of_open_stores(_items(spark, d), t.store(spark, d), *FUTURE)
+    return N.panel_keys(_history(spark, d), future, FUTURE[0])
+
+
 def _panel(spark: SparkSession, d: str) -> DataFrame:
     future = N.future_days_of_open_stores(_items(spark, d), t.store(spark, d), *FUTURE)
     return N.base_panel(_history(spark, d), future, t.calendar(spark), FUTURE[0])
@@ -195,12 +200,13 @@ _MONEY = ["retail_price", "amount", "prom_price", "unit_price", "p_rate"]
 def feature_rows(spark: SparkSession, d: str, encode: tuple[str, ...] = (), code_map: DataFrame | None = None) -> DataFrame:
     stores = t.store(spark, d).select("store_id", "area_idnt", "loc_wh", "store_type", "loc_selling_area", "pds_grace")
     inputs = FeatureInputs(
-        panel=_panel(spark, d).select("item_code", "store_id", "day_dt", "year", "month", "weekday", "day_type", "is_5th", "activity_desc"),
+        panel=_panel_keys(spark, d),
         store=stores,
         sales=t.sales(spark, d).drop("ttl_amt_payment"),
         product=t.product(spark, d).drop("list_price"),
         offers=t.offers(spark, d),
         code_map=code_map,
+        calendar=t.calendar(spark).select("day_dt", "year", "month", "weekday", "day_type", "is_5th", "activity_desc"),
     )
     return build_features(inputs, *OFFER_SPAN, encode=encode, outlier_quantity=40, min_day="1996-01-01")
 
@@ -247,7 +253,7 @@ def feature_table(spark: SparkSession, d: str) -> DataFrame:
 )
 def extra_features(spark: SparkSession, d: str) -> DataFrame:
     offers = t.offers(spark, d)
-    panel = _panel(spark, d).join(t.store(spark, d).select("store_id"), "store_id").where("day_dt IS NOT NULL")
+    panel = _panel_keys(spark, d).join(t.store(spark, d).select("store_id"), "store_id", "left_semi").where("day_dt IS NOT NULL")
     days = promotion_days(panel, offers, *OFFER_SPAN).withColumn("area_idnt", F.lit("1"))
     actual = (
         t.sales(spark, d)

@@ -51,17 +51,22 @@ def future_days_of_open_stores(items: DataFrame, stores: DataFrame, start: str |
     return pairs.select("item_code", "store_id", F.explode(days_from(F.col("_first"), day(end))).alias("day_dt"))
 
 
-def base_panel(history: DataFrame, future: DataFrame, calendar: DataFrame, future_from: str | date) -> DataFrame:
-    """History and future without repeats, with the calendar's columns.
+def panel_keys(history: DataFrame, future: DataFrame, future_from: str | date) -> DataFrame:
+    """History and future keys without repeats.
 
     The future has one row per key, as the functions above give it, so only history on or after
     `future_from` can repeat it: the many future rows are compared with those few instead of being
-    shuffled for a distinct. The calendar depends on the day alone and is added last.
+    shuffled for a distinct.
     """
     past = history.select(*PANEL_KEYS).distinct()
     late = past.where(F.col("day_dt") >= day(future_from))
     fresh = future.select(*PANEL_KEYS).join(late, PANEL_KEYS, "left_anti")
-    return past.unionByName(fresh).join(calendar.drop("wk_idnt"), "day_dt", "left")
+    return past.unionByName(fresh)
+
+
+def base_panel(history: DataFrame, future: DataFrame, calendar: DataFrame, future_from: str | date) -> DataFrame:
+    """Panel keys with the calendar's columns, which depend on the day alone."""
+    return panel_keys(history, future, future_from).join(calendar.drop("wk_idnt"), "day_dt", "left")
 
 
 def stack_rows(history: DataFrame, future: DataFrame) -> DataFrame:
