@@ -34,15 +34,15 @@ def _sales_with_store(spark: SparkSession, d: str) -> DataFrame:
     """SELECT store_id, coalesce(pds_grace, 'None') AS pds_grace, coalesce(pds_floor_type, 'None') AS pds_floor_type,
         coalesce(pds_location_type_en, 'None') AS pds_location_type_en, store_type, 'Others(其它' AS pds_mtg_type,
         coalesce(ttl_quantity, 0) AS ttl_quantity
-    FROM store LEFT JOIN (SELECT CAST(l_suppkey AS VARCHAR) AS store_id, sum(l_quantity) AS ttl_quantity FROM lineitem WHERE l_discount > 0.09 AND l_tax > 0.07 AND l_linenumber = 7 GROUP BY 1) USING (store_id)""",
+    FROM store LEFT JOIN (SELECT CAST(l_suppkey AS VARCHAR) AS store_id, sum(CASE WHEN l_discount > 0.09 AND l_tax > 0.07 AND l_linenumber = 7 THEN l_quantity END) AS ttl_quantity FROM lineitem GROUP BY 1) USING (store_id)""",
     ("store",),
 )
 def impute_constants(spark: SparkSession, d: str) -> DataFrame:
+    counted = F.expr("CASE WHEN l_discount > 0.09D AND l_tax > 0.07D AND l_linenumber = 7 THEN l_quantity END")
     rare = (
         t.table(spark, d, "lineitem")
-        .where("l_discount > 0.09D AND l_tax > 0.07D AND l_linenumber = 7")
         .groupBy(F.col("l_suppkey").cast("string").alias("store_id"))
-        .agg(F.sum("l_quantity").alias("ttl_quantity"))
+        .agg(F.sum(counted).alias("ttl_quantity"))
     )
     rows = t.store(spark, d).join(rare, "store_id", "left").withColumn("pds_mtg_type", F.lit(None).cast("string"))
     return K.fill_constants(rows).select(

@@ -9,7 +9,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.scalar import missing_to_null
+from shelfwise.functions.scalar import missing_to_null, ratio
+
+RANGES_PER_MAGNITUDE = 64
+PARTS_PER_RANGE = 4096
 
 
 def with_group_value(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
@@ -29,12 +32,12 @@ def exact_median(df: DataFrame, keys: Sequence[str], column: str, weight: str |
     """Exact median per group without holding a group's values in one task.
 
     `weight` is an optional column of whole numbers: how many rows a row stands for.
-    Values are counted per (group, value), the counts are summed per order-preserving value range, the
-    ranges that hold the middle ranks are found from those sums, and only their values are ranked.
+    Values are counted per (group, value), and the counts summed per order-preserving range of values.
+    Only the ranges that hold the middle ranks are looked at again, cut evenly into parts; only the
+    values of the parts that hold the middle ranks are ranked one by one.
     """
     keys = list(keys)
     v = F.col("_v")
-    value_range = F.floor(F.signum(v) * F.log1p(F.abs(v)) * 64)
     counts = (
         df.select(
             *keys,
@@ -44,32 +47,46 @@ def exact_median(df: DataFrame, keys: Sequence[str], column: str, weight: str |
         .where(v.isNotNull())
         .groupBy(*keys, "_v")
         .agg(F.sum("_w").alias("_n"))
-        .withColumn("_range", value_range)
+        .withColumn("_range", F.floor(F.signum(v) * F.log1p(F.abs(v)) * RANGES_PER_MAGNITUDE))
     )
-    ranges = counts.groupBy(*keys, "_range").agg(F.sum("_n").alias("_range_n"))
-    upto = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
-    total = F.col("_total")
-    middle = (
-        ranges.withColumn("_total", F.sum("_range_n").over(whole))
-        .withColumn("_before", F.sum("_range_n").over(upto) - F.col("_range_n"))
-        .withColumn("_low", F.floor((total + 1) / 2))
-        .withColumn("_high", F.floor(total / 2) + 1)
-        .where((F.col("_before") < F.col("_high")) & (F.col("_before") + F.col("_range_n") >= F.col("_low")))
-        .select(*keys, "_range", "_before", "_low", "_high")
+    total = F.sum("_n").over(Window.partitionBy(*keys))
+    ranges = (
+        counts.groupBy(*keys, "_range")
+        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to"))
+        .withColumns({"_low": F.floor((total + 1) / 2), "_high": F.floor(total / 2) + 1, "_start": F.lit(0)})
     )
-    candidates = join_on_keys(middle, counts, [*keys, "_range"])
-    within = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = candidates.withColumn("_upto", F.col("_before") + F.sum("_n").over(within)).withColumn(
-        "_from", F.col("_upto") - F.col("_n")
+    middle = _holding_middle(ranges, keys, "_range")
+
+    part = F.floor(F.coalesce(ratio(v - F.col("_from"), F.col("_to") - F.col("_from")), F.lit(0.0)) * PARTS_PER_RANGE)
+    candidates = join_on_keys(middle, counts, [*keys, "_range"]).withColumn("_part", part)
+    place = [*keys, "_range", "_part"]
+    parts = candidates.groupBy(*place).agg(
+        F.sum("_n").alias("_n"), *[F.max(c).alias(c) for c in ("_low", "_high", "_start")]
     )
+    narrow = _holding_middle(parts, [*keys, "_range"], "_part")
+    last = join_on_keys(narrow, candidates.select(*place, "_v", "_n"), place)
+
+    ranked = _with_ranks(last, place, "_v")
 
     def at(rank: str) -> Column:
-        return F.max(F.when((F.col("_from") < F.col(rank)) & (F.col(rank) <= F.col("_upto")), v))
+        return F.max(F.when((F.col("_start") < F.col(rank)) & (F.col(rank) <= F.col("_start") + F.col("_n")), v))
 
     return ranked.groupBy(*keys).agg(((at("_low") + at("_high")) / 2).alias("median"))
 
 
+def _with_ranks(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Moves `_start`, the number of values before the group, on to the number before each of its rows."""
+    upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn("_start", F.col("_start") + F.sum("_n").over(upto) - F.col("_n"))
+
+
+def _holding_middle(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The rows of a group, in order, whose values hold the wanted ranks; without their counts."""
+    start = F.col("_start")
+    holds = (start < F.col("_high")) & (start + F.col("_n") >= F.col("_low"))
+    return _with_ranks(df, keys, order).where(holds).drop("_n")
+
+
 def fill_with_median(df: DataFrame, keys: Sequence[str], column: str, weight: str | None = None) -> DataFrame:
     """Missing values take the exact median of their group."""
     medians = exact_median(df, keys, column, weight)
