@@ -9,8 +9,10 @@ from shelfwise.llm import oracles
 from shelfwise.llm.common import table
 from shelfwise.llm.decontaminate import contamination
 from shelfwise.llm.imatch import fingerprint_report
+from shelfwise.llm.jaccard_join import jaccard_components
 from shelfwise.llm.pareto_mix import mix_sources
 from shelfwise.llm.pii import pii_digest
+from shelfwise.llm.suffix_dedup import remove_repeats
 from shelfwise.llm.token_cache import count_tokens
 from shelfwise.session import shared_dir
 
@@ -43,12 +45,24 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' bytes without the 100-byte strings that occur earlier."""
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose three-word shingle sets have a Jaccard similarity of 0.9 or more."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_token_cache": op2_token_cache,
     "op3_decontamination": op3_decontamination,
     "op4_imatch": op4_imatch,
     "op7_pareto_mix": op7_pareto_mix,
     "op8_pii": op8_pii,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLES = {
     "op3_decontamination": oracles.DECONTAMINATION,
