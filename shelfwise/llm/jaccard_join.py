@@ -98,8 +98,8 @@ def _describe(width: int, num: int, den: int, shared):
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("rid"), pa.array(sizes, pa.int64()), pa.array(digests, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["doc_id", "rid", "n", "sid", "prefix"],
+                [batch.column("doc_id"), batch.column("rid"), batch.column("row"), pa.array(sizes, pa.int64()), pa.array(digests, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                names=["doc_id", "rid", "row", "n", "sid", "prefix"],
             )
 
     return run
@@ -267,7 +267,7 @@ def _verified(texts: DataFrame, dealt: DataFrame, width: int, num: int, den: int
 
 
 def jaccard_classes(docs: DataFrame, width: int, threshold: str) -> DataFrame:
-    """doc_id, rid, n_shingles and component (the same for all that links connect; null for empty sets).
+    """doc_id, rid, row (a hash of the text), n_shingles and component (the same for all that links connect; null for empty sets).
 
     `threshold` is a decimal or fraction as text. Rows of equal sets are one class; classes link when their sets'
     Jaccard similarity reaches it, exactly: prefixes and clusters only rule out pairs that can't.
@@ -280,9 +280,9 @@ def jaccard_classes(docs: DataFrame, width: int, threshold: str) -> DataFrame:
     ship(spark)
     part = Fraction(threshold)
     num, den = part.numerator, part.denominator
-    texts = docs.select("doc_id", row_id().alias("rid"), whole_text().cast("binary").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_id().alias("rid"), F.xxhash64(whole_text()).alias("row"), whole_text().cast("binary").alias("text"))
     shared = spark.sparkContext.broadcast(slot_counts(texts, width))
-    described = stage(texts.mapInArrow(_describe(width, num, den, shared), "doc_id long, rid long, n long, sid long, prefix array<long>"), "sets")
+    described = stage(texts.mapInArrow(_describe(width, num, den, shared), "doc_id long, rid long, row long, n long, sid long, prefix array<long>"), "sets")
     full = described.where("n > 0")
     # a class's prefix does not depend on the row that gives it
     classes = stage(full.groupBy("sid").agg(F.min("rid").alias("rid"), F.min_by("prefix", "rid").alias("prefix")), "classes")
@@ -297,7 +297,7 @@ def jaccard_classes(docs: DataFrame, width: int, threshold: str) -> DataFrame:
     if dealt.where("blocks > 1").limit(1).count():
         links = links.unionByName(stage(_verified(texts, _unresolved(dealt, links), width, num, den), "verified"))
     roots = components(links).select(F.col("node").alias("sid"), "root")
-    return described.join(roots, "sid", "left").select("doc_id", "rid", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("root", "sid")).alias("component"))
+    return described.join(roots, "sid", "left").select("doc_id", "rid", "row", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("root", "sid")).alias("component"))
 
 
 def _dealt(clusters: DataFrame) -> DataFrame:

@@ -1,5 +1,22 @@
 """DuckDB SQL with the results of the queries, written from the contracts and not from the operators."""
 
+#: Each dialogue's messages once for each speaker; offsets are running sums of the rendered lengths.
+CHAT_VIEWS = r"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+view AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
+seen AS (
+    SELECT s.*, v.perspective, CASE WHEN speaker = 'system' THEN '<|system|>' WHEN speaker = perspective THEN '<|assistant|>' ELSE '<|user:' || speaker || '|>' END || chr(10) AS head
+    FROM said s JOIN view v USING (conv_id)),
+placed AS (
+    SELECT *, head || text || '<|end|>' || chr(10) AS rendered, row_number() OVER o - 1 AS position,
+        sum(length(head) + length(text) + 8) OVER o AS stop FROM seen
+    WINDOW o AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS LAST, speaker, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, perspective, turn, position, speaker, rendered, CAST(stop - length(rendered) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop,
+    speaker = perspective AS in_loss, CAST(CASE WHEN speaker = perspective THEN stop - length(rendered) + length(head) ELSE stop END AS BIGINT) AS mask_start,
+    CAST(stop AS BIGINT) AS mask_stop
+FROM placed
+"""
+
 #: Items and documents as words; windows joined by their words; hit words counted once each.
 DECONTAMINATION = r"""
 WITH item AS MATERIALIZED (

@@ -5,13 +5,17 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from shelfwise.llm import oracles
+from shelfwise.llm.chat_views import rotate_perspectives
 from shelfwise.llm.common import table
 from shelfwise.llm.decontaminate import contamination
 from shelfwise.llm.imatch import fingerprint_report
 from shelfwise.llm.jaccard_join import jaccard_components
 from shelfwise.llm.pareto_mix import mix_sources
 from shelfwise.llm.pii import pii_digest
+from shelfwise.llm.quality_gam import quality_scores
+from shelfwise.llm.secrets import secret_report
 from shelfwise.llm.suffix_dedup import remove_repeats
 from shelfwise.llm.token_cache import count_tokens
 from shelfwise.session import shared_dir
@@ -19,6 +23,11 @@ from shelfwise.session import shared_dir
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_chat_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as each of their speakers sees them."""
+    return rotate_perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op2_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents through a cache that starts empty, so the call does all of its work."""
     cache = f"{shared_dir(spark).rstrip('/')}/llm-token-cache-{uuid.uuid4().hex}"
@@ -35,6 +44,16 @@ def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labels that are not held out."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to source weights 1, 2, 3."""
     return mix_sources(table(spark, sf_dir, "documents"))
@@ -55,16 +74,26 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "op1_chat_views": op1_chat_views,
     "op2_token_cache": op2_token_cache,
     "op3_decontamination": op3_decontamination,
     "op4_imatch": op4_imatch,
+    "op5_secrets": op5_secrets,
+    "op6_quality_gam": op6_quality_gam,
     "op7_pareto_mix": op7_pareto_mix,
     "op8_pii": op8_pii,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "pipeline": pipeline,
 }
 ORACLES = {
+    "op1_chat_views": oracles.CHAT_VIEWS,
     "op3_decontamination": oracles.DECONTAMINATION,
     "op7_pareto_mix": oracles.PARETO_MIX,
     "op8_pii": oracles.pii_sql(),
