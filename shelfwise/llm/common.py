@@ -39,6 +39,15 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
+def with_text(df: DataFrame, changed: Column, text: Column, columns: list[str]) -> DataFrame:
+    """`columns` of `df` with a new text where `changed`, and with n_chars following it."""
+    df = df.withColumn("__changed", changed).withColumn("__text", F.when(F.col("__changed"), text).otherwise(F.col("text")))
+    new = {"text": F.col("__text")}
+    if "n_chars" in columns:
+        new["n_chars"] = F.when(F.col("__changed"), F.char_length("__text").cast("long")).otherwise(F.col("n_chars"))
+    return df.select(*(new[c].alias(c) if c in new else F.col(c) for c in columns))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet in the cluster's shared folder and read it back.
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import ship, whole_text
+from shelfwise.llm.common import ship, whole_text, with_text
 
 #: Words: runs of digits, ASCII letters and all characters beyond ASCII.
 WORD = "[^\x00-\x2f\x3a-\x60\x7b-\x7f]+"
@@ -213,10 +213,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
     found = find_benchmark(docs, benchmark, window)
     hit = F.aggregate("__runs", F.lit(0), lambda s, r: s + r["b"] - r["a"])
     found = found.where(hit <= F.col("__n_words") * max_coverage)
-    dirty = F.size("__runs") > 0
-    changed = {"text": F.when(dirty, without_spans(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))}
-    changed["n_chars"] = F.when(dirty, F.char_length(changed["text"]).cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumns({k: v for k, v in changed.items() if k in docs.columns}).select(*docs.columns)
+    return with_text(found, F.size("__runs") > 0, without_spans(F.col("text"), F.col("__spans")), docs.columns)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:

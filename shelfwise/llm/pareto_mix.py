@@ -80,7 +80,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_copie
     )
     targets = targets.withColumn("whole", F.floor("rate")).withColumn("part", F.col("rate") - F.col("whole"))
     u = (F.col("bits") + 0.5) / float(1 << RANK_BITS)
-    order = u / (1 - u) / (F.col("part") / (1 - F.col("part")) * F.col("odds"))
+    part = F.when(F.col("part") > 0, F.col("part"))  # without a fraction there is no rank
+    order = u / (1 - u) / (part / (1 - part) * F.col("odds"))
     rank = F.floor(order / (1 + order) * float(1 << RANK_BITS)).cast("long")
     ranked = rows.join(targets.where("part > 0").select("source_key", "part"), "source_key").select("source_key", "size", rank.alias("rank"))
     needs = targets.where("part > 0").select("source_key", (F.col("target") - F.col("whole") * F.col("source_size")).alias("need"))

@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import stage, whole_text
+from shelfwise.llm.common import stage, whole_text, with_text
 from shelfwise.llm.pii import running_start
 
 #: A candidate: at least 16 key characters in a row, possibly padded.
@@ -180,9 +180,7 @@ def redact(docs: DataFrame, path: str | None = "source", mark: str = "<secret>")
     starts = F.concat(F.array(F.lit(0)), F.transform("__secrets", lambda s: s["stop"]))
     stops = F.concat(F.transform("__secrets", lambda s: s["start"]), F.array(F.char_length(text)))
     kept = F.transform(F.sequence(F.lit(0), n), lambda i: F.substring(text, F.get(starts, i) + 1, F.get(stops, i) - F.get(starts, i)))
-    changed = {"text": F.when(n > 0, F.array_join(kept, mark)).otherwise(text)}
-    changed["n_chars"] = F.when(n > 0, F.char_length(changed["text"]).cast("long")).otherwise(F.col("n_chars") if "n_chars" in docs.columns else None)
-    return found.withColumns({k: v for k, v in changed.items() if k in docs.columns}).select(*docs.columns)
+    return with_text(found, n > 0, F.array_join(kept, mark), docs.columns)
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
