@@ -59,8 +59,6 @@ def main() -> None:
             "spark.sql.shuffle.partitions": str(4 * int(cpus)),
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "20g"),
             "spark.ui.enabled": "false",
-            "shelfwise.check.spread": cpus,
-            "spark.sql.files.maxPartitionBytes": str(2 * 1024 * 1024),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -205,7 +205,7 @@ def label_encode(spark: SparkSession, d: str) -> DataFrame:
     """Codes fitted on the stores outside Asia and on all products; small ranges exercise the cut path."""
     train = t.store(spark, d).where("store_type <> 'ASIA'")
     type_codes = E.ordinal_codes(train, "store_type")
-    item_codes = E.ordinal_codes(t.product(spark, d), "item_code", rows_per_range=300)
+    item_codes = E.ordinal_codes(t.product(spark, d), "item_code")
     rows = _sales_with_store(spark, d).select("day_dt", "store_id", "item_code", "store_type")
     return E.apply_codes(E.apply_codes(rows, type_codes, "store_type"), item_codes, "item_code")
 
@@ -264,10 +264,18 @@ def type_profile(spark: SparkSession, d: str) -> DataFrame:
     return R.type_profile(t.table(spark, d, "lineitem").select(*_TYPED))
 
 
-@query("SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS l_quantity, count(*) AS n FROM lineitem GROUP BY ALL")
+@query(
+    """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS l_quantity, CAST(CAST(l_tax AS FLOAT) AS DOUBLE) AS l_tax,
+        CASE WHEN l_linenumber % 2 = 1 THEN l_linenumber END AS odd_line, count(*) AS n,
+        (SELECT 'l_orderkey:' || CASE WHEN max(l_orderkey) < 128 THEN 'tinyint' WHEN max(l_orderkey) < 32768 THEN 'smallint' ELSE 'int' END FROM lineitem)
+        || ',l_linenumber:tinyint,l_quantity:tinyint,l_tax:float,odd_line:tinyint' AS types FROM lineitem GROUP BY ALL"""
+)
 def narrow_columns(spark: SparkSession, d: str) -> DataFrame:
-    narrow = R.narrow_types(t.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"))
-    return narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("n"))
+    """The narrowed rows with the names of the chosen types, a float and a column with nulls among them."""
+    odd = F.when(F.col("l_linenumber") % 2 == 1, F.col("l_linenumber")).alias("odd_line")
+    narrow = R.narrow_types(t.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax", odd))
+    types = ",".join(f"{name}:{kind}" for name, kind in narrow.dtypes)
+    return narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("n")).withColumn("types", F.lit(types))
 
 
 @query("SELECT l_partkey, l_suppkey, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1")
@@ -280,10 +288,24 @@ def value_counts(spark: SparkSession, d: str) -> DataFrame:
     return Q.value_counts(t.table(spark, d, "orders"), "o_orderpriority")
 
 
-@query("SELECT CAST(p_partkey % 18 AS BIGINT) AS shard, count(*) AS n_rows FROM part GROUP BY ALL")
+@query(
+    """SELECT CAST(p_partkey AS VARCHAR) AS item_code, count(*) AS n_rows, 1::BIGINT AS n_shards, 1::BIGINT AS in_range, 1::BIGINT AS fair
+    FROM part JOIN lineitem ON l_partkey = p_partkey GROUP BY ALL"""
+)
 def shard_balance(spark: SparkSession, d: str) -> DataFrame:
-    """Rows per shard; a number both engines know stands in for the hash."""
-    return Q.value_counts(t.table(spark, d, "part").withColumn("shard", F.col("p_partkey") % 18), "shard")
+    """Per item its rows, the number of shards they are in, and whether that is in range and not overfull.
+
+    The hash itself is no other engine's; a shard may hold three times its fair share of the items.
+    """
+    lines = t.table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("item_code"))
+    own = lines.withColumn("shard", Q.shard_of("item_code", 18))
+    items = own.groupBy("item_code").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("shard").alias("n_shards"), F.min("shard").alias("shard"))
+    sizes = items.groupBy("shard").agg(F.count(F.lit(1)).alias("n_items"))
+    total = items.count()
+    return items.join(sizes, "shard").select(
+        "item_code", "n_rows", "n_shards", F.col("shard").between(0, 17).cast("long").alias("in_range"),
+        (F.col("n_items") <= 3 * total / 18 + 5).cast("long").alias("fair"),
+    )
 
 
 @query(f"SELECT item_code, {near_sql('avg(CASE WHEN q > 0 THEN 1.0 ELSE 0.0 END)')} AS nonzero_share FROM (SELECT p_brand AS item_code, CASE WHEN l_returnflag = 'A' THEN 0 ELSE l_quantity END AS q FROM lineitem JOIN part ON l_partkey = p_partkey) GROUP BY ALL")

@@ -257,9 +257,20 @@ def corr_matrix(spark: SparkSession, d: str) -> DataFrame:
     return rounded(rows.select("item_code", "i", F.posexplode("line").alias("j", "corr")), "corr", digits=6)
 
 
-@query("SELECT item_code AS item, 10::BIGINT AS n_names, 10::BIGINT AS n_lines FROM (SELECT DISTINCT p_brand AS item_code FROM part JOIN lineitem ON l_partkey = p_partkey)")
+@query(
+    f"""SELECT item_code AS item, i, j, max(a_name) AS row_name, max(b_name) AS col_name,
+        {near_sql('coalesce(CASE WHEN min(a) < max(a) AND min(b) < max(b) THEN covar_pop(a, b) / (stddev_pop(a) * stddev_pop(b)) END, 0)', 5)} AS corr
+    FROM (SELECT x.item_code, x.rank - 1 AS i, y.rank - 1 AS j, x.v AS a, y.v AS b, xn.feature AS a_name, yn.feature AS b_name
+          FROM top_values x JOIN top_values y USING (rn)
+          JOIN ({_TOP}) xn ON xn.item_code = x.item_code AND xn.rank = x.rank JOIN ({_TOP}) yn ON yn.item_code = y.item_code AND yn.rank = y.rank)
+    GROUP BY item_code, i, j""",
+    ("top_values",),
+)
 def corr_json(spark: SparkSession, d: str) -> DataFrame:
-    """The exported text, read back as JSON."""
+    """The exported text, read back as JSON: the names in order and every number."""
     text = Y.matrix_json(Y.top_matrix(measured(spark, d), "ttl_quantity", _FEATURES))
-    back = F.from_json("corr_json", "col_name array<string>, data array<array<double>>")
-    return text.select("item", F.size(back["col_name"]).alias("n_names"), F.size(back["data"]).alias("n_lines"))
+    back = text.select("item", F.from_json("corr_json", "col_name array<string>, data array<array<double>>").alias("b"))
+    rows = back.select("item", "b.col_name", F.posexplode("b.data").alias("i", "line"))
+    cells = rows.select("item", "i", "col_name", F.posexplode("line").alias("j", "corr"))
+    named = cells.select("item", "i", "j", F.get("col_name", F.col("i")).alias("row_name"), F.get("col_name", F.col("j")).alias("col_name"), "corr")
+    return rounded(named, "corr", digits=5)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from shelfwise.constants import PROMOTION_KINDS
 from shelfwise.operators.calendar import calendar_days
 from shelfwise.operators.split import Splits, with_split
+from shelfwise.session import dealt
 
 SPLITS = Splits("1996-01-01", ("2000-07-01", "2000-07-28"), ("2000-07-29", "2000-08-18"), ("2000-10-01", "2000-12-31"))
 WINDOWS = SPLITS.windows
@@ -18,12 +19,9 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. A file of a single row group is one task however many cores there are, so a local
-    session may ask (`shelfwise.check.spread`) for the two large ones to be dealt out; a cluster's table
-    of many files needs nothing of the kind."""
+    """A given table; one of few row groups is dealt out over the session's cores."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    spread = int(spark.conf.get("shelfwise.check.spread", "0"))
-    return df.repartition(spread) if spread and name in ("lineitem", "orders") else df
+    return dealt(df) if name in ("lineitem", "orders") else df
 
 
 # --- calendar ---------------------------------------------------------------------------------------

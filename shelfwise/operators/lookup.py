@@ -1,13 +1,12 @@
 """Joins against smaller tables. None hints a broadcast: Spark's size threshold decides."""
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GRID_LINES = 64
-GRID_COLUMNS = 16
-SALTS = 16
+from shelfwise.session import salts as session_salts
 
 
 def fully_spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -25,7 +24,8 @@ def every_pair(left: DataFrame, right: DataFrame, right_key: str, left_key: str
 
     A left row belongs to one grid line and is copied along it, a right row belongs to one grid column
     and is copied along that; they meet in exactly one cell. The work spreads evenly over the cells
-    whatever the sizes, and neither side has to fit in one executor.
+    whatever the sizes, and neither side has to fit in one executor. The grid has four cells for each
+    shuffle partition of the session.
     """
 
     def slot(key: str, slots: int) -> Column:
@@ -34,19 +34,23 @@ def every_pair(left: DataFrame, right: DataFrame, right_key: str, left_key: str
     def all_slots(slots: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
 
-    lines = left.withColumn("_line", slot(left_key, GRID_LINES)).withColumn("_column", all_slots(GRID_COLUMNS))
-    columns = right.withColumn("_column", slot(right_key, GRID_COLUMNS)).withColumn("_line", all_slots(GRID_LINES))
+    cells = 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_columns = max(1, math.isqrt(cells) // 2)
+    n_lines = -(-cells // n_columns)
+    lines = left.withColumn("_line", slot(left_key, n_lines)).withColumn("_column", all_slots(n_columns))
+    columns = right.withColumn("_column", slot(right_key, n_columns)).withColumn("_line", all_slots(n_lines))
     cell = ["_line", "_column"]
     return fully_spread(lines, *cell).join(fully_spread(columns, *cell), cell).drop(*cell)
 
 
-def spread_join(df: DataFrame, groups: DataFrame, key: str, spread_by: Sequence[str], salts: int = SALTS) -> DataFrame:
+def spread_join(df: DataFrame, groups: DataFrame, key: str, spread_by: Sequence[str], salts: int | None = None) -> DataFrame:
     """Inner join of rows with one row per key, for a key that may hold much of the table.
 
-    The rows of a key are spread over `salts` sub-keys by other columns and the groups are copied to each
+    The rows of a key are spread over `salts` sub-keys (the session's number) by other columns and the groups are copied to each
     of them. An aggregation by the key that follows then has to shuffle partial results instead of
     staying in the one task that holds the key.
     """
+    salts = salts or session_salts(df.sparkSession)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [key, "_salt"]).drop("_salt")

@@ -16,7 +16,8 @@ from shelfwise.constants import (
 )
 from shelfwise.functions.dates import day, days_from
 from shelfwise.functions.scalar import date_or_null, discount_rate, id_text, number_or_null
-from shelfwise.operators.lookup import SALTS, spread_join
+from shelfwise.operators.lookup import spread_join
+from shelfwise.session import salts
 
 VALIDITY = ["offer_start_date", "offer_end_date"]
 SEGMENT = ["segment_start", "segment_end"]
@@ -162,7 +163,7 @@ def offer_size(offers: DataFrame, distinct: bool = False) -> DataFrame:
 
 def with_offer_size(df: DataFrame, sizes: DataFrame, missing: int = MISSING_OFFER_SIZE) -> DataFrame:
     """Adds the offer's size. Most rows have no offer: their join key is spread, so they share no task."""
-    no_offer = F.concat(F.lit("no offer "), F.pmod(F.xxhash64("item_code", "day_dt"), F.lit(64 * SALTS)))
+    no_offer = F.concat(F.lit("no offer "), F.pmod(F.xxhash64("item_code", "day_dt"), F.lit(64 * salts(df.sparkSession))))
     sizes = sizes.select(F.col("offer_code").alias("_offer"), "num_items_in_offer")
     keyed = df.withColumn("_offer", F.coalesce("offer_code", no_offer))
     return keyed.join(sizes, "_offer", "left").drop("_offer").na.fill({"num_items_in_offer": missing})

@@ -1,6 +1,7 @@
 """Session settings and the shared folder for checkpoints and hand-over tables."""
 
-import tempfile
+import atexit
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,10 +32,14 @@ def spark_session(app_name: str = "shelfwise", master: str | None = None, **conf
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (`spark.checkpoint.dir`); a scratch folder only where unset, as in tests."""
+    """The folder that driver and executors share: `spark.checkpoint.dir`, else the session's checkpoint folder.
+
+    Where neither is set, as in tests, it lies in the warehouse, which a cluster shares too; never in a folder
+    of one machine's own.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="shelfwise-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
         spark.sparkContext.setCheckpointDir(configured)
     return configured
 
@@ -43,3 +48,44 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so several passes over `df` do not recompute it and survive lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+_stages: list[tuple[SparkSession, str]] = []
+
+
+def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """`df` written as Parquet to the shared folder and read back: lineage is cut, columns are pruned when read,
+    and the planner knows the table's real size. Stages are deleted when the program ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _stages.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def delete_stages() -> None:
+    """Deletes the stages of sessions that still run."""
+    while _stages:
+        spark, path = _stages.pop()
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # the session has ended and its folder's owner clears it
+            continue
+
+
+def salts(spark: SparkSession) -> int:
+    """Sub-keys over which a hot key is spread: `shelfwise.salts`, else a quarter of the shuffle partitions."""
+    return int(spark.conf.get("shelfwise.salts", None) or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4))
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """A table of fewer input splits than `shelfwise.input.partitions` (default: the cluster's cores) is dealt out.
+
+    A Parquet file is never split below its row groups, so a table of one file would be one task. Tables of many
+    files are read as they are.
+    """
+    spark = df.sparkSession
+    wanted = int(spark.conf.get("shelfwise.input.partitions", None) or spark.sparkContext.defaultParallelism)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df

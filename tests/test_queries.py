@@ -6,7 +6,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks import ORACLES, QUERIES
 from compare import TABLES, canonical, difference
 
 SF = "/root/testdata/sf0.001"
@@ -21,12 +22,12 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, db, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan and "Python" not in plan
-    want = db.sql(oracle_sql()[name]).df()
+    want = db.sql(ORACLES[name]).df()
     got = df.toPandas()
     if len(got) == 0:
         assert len(want) == 0
