@@ -31,6 +31,7 @@ HEADLINE = [
     "panel_union_distinct",
     "feature_table",
     "model_table_report",
+    "extra_features",
     "low_sales_series",
     "label_encode",
     "weight_by_row",
@@ -40,6 +41,8 @@ HEADLINE = [
     "corr_top10",
     "corr_matrix",
     "period_text_parse",
+    "stream_incremental_ingest",
+    "forecast_round_results",
 ]
 
 

@@ -169,17 +169,30 @@ def metadata_horizons(spark: SparkSession, d: str) -> DataFrame:
     return X.metadata_table(summary, rows.where("split = 'test'"), _HORIZONS, "now")
 
 
+_BANDS = {
+    "upto_50": "ratio <= 0.5", "from_50_to_80": "ratio BETWEEN 0.5 AND 0.8", "from_80_to_100": "ratio BETWEEN 0.8 AND 1.0",
+    "from_100_to_120": "ratio BETWEEN 1.0 AND 1.2", "from_120": "ratio >= 1.2", "from_65_to_120": "ratio BETWEEN 0.65 AND 1.2",
+    "share_in_band": "ratio BETWEEN 0.65 AND 1.2",
+}
+
+
 @query(
-    f"""SELECT r.item_code, {_share('ratio BETWEEN 0.65 AND 1.2')} AS share_in_band, test_store_cnt, n_low FROM (SELECT item_code, round(ratio, 4) AS ratio FROM ({_SELL})) r
-    JOIN (SELECT item_code, count(DISTINCT store_id) AS test_store_cnt FROM scored WHERE split = 'test' GROUP BY ALL) s ON r.item_code = s.item_code
+    f"""SELECT r.*, v.* EXCLUDE (item_code), s.test_store_cnt, s.n_repeated, l.n_low
+    FROM (SELECT item_code, {", ".join(f"{_share(c)} AS {n}" for n, c in _BANDS.items())},
+              CAST(CASE WHEN avg(CASE WHEN ratio BETWEEN 0.65 AND 1.2 THEN 1.0 ELSE 0.0 END) >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS passed
+          FROM (SELECT item_code, round(ratio, 4) AS ratio FROM ({_SELL})) GROUP BY item_code) r
+    JOIN ({_SUMMARY}) v ON r.item_code = v.item_code
+    JOIN (SELECT item_code, count(DISTINCT store_id) AS test_store_cnt, CAST(coalesce(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_repeated
+          FROM (SELECT item_code, store_id, day_dt, count(*) AS n FROM scored WHERE split = 'test' GROUP BY ALL) GROUP BY ALL) s ON r.item_code = s.item_code
     JOIN (SELECT item_code, count(*) FILTER (WHERE total < 100) AS n_low FROM (SELECT item_code, loc_wh, sum(y_pred) AS total FROM scored WHERE split = 'test' GROUP BY ALL) GROUP BY ALL) l
-      ON r.item_code = l.item_code GROUP BY r.item_code, test_store_cnt, n_low""",
+      ON r.item_code = l.item_code""",
     ("scored_windows", "scored"),
 )
 def validation_report(spark: SparkSession, d: str) -> DataFrame:
+    """Every column of the report; the summary's shares to three digits, as in `validation_summary`."""
     rows = t.scored(spark, d)
-    report = X.validation_report(rows, rows.where("split = 'test'"), WINDOWS, 0.5)
-    return rounded(report.select("item_code", "share_in_band", "test_store_cnt", "n_low"), "share_in_band")
+    report = X.validation_report(rows, rows.where("split = 'test'"), WINDOWS, 0.5, digits=10)
+    return rounded(rounded(report, *_BANDS), *_SUMMARY_ROUNDED, digits=3)
 
 
 # --- correlation ------------------------------------------------------------------------------------

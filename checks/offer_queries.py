@@ -96,7 +96,7 @@ def same_offer_items(spark: SparkSession, d: str) -> DataFrame:
            {near_sql('o.unit_price')} AS unit_price, count(*) AS n
     FROM (SELECT DISTINCT CASE WHEN day_dt < DATE '{SPLITS.v1[0]}' THEN 'train' WHEN day_dt <= DATE '{SPLITS.v1[1]}' THEN 'v1'
                  WHEN day_dt <= DATE '{SPLITS.v2[1]}' THEN 'v2' ELSE 'test' END AS split, item AS item_code, offer_code
-          FROM best WHERE day_dt <= DATE '{SPLITS.v2[1]}' OR day_dt BETWEEN DATE '{SPLITS.test[0]}' AND DATE '{SPLITS.test[1]}') s
+          FROM best WHERE day_dt BETWEEN DATE '{SPLITS.history_start}' AND DATE '{SPLITS.v2[1]}' OR day_dt BETWEEN DATE '{SPLITS.test[0]}' AND DATE '{SPLITS.test[1]}') s
     JOIN offers o ON o.item = s.item_code AND o.offer_code = s.offer_code GROUP BY ALL""",
     ("best", "offers"),
 )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks import tables as t
 from checks.registry import near, near_sql, query, rounded
-from checks.tables import BRAND_OUTLIER, FUTURE, OFFER_SPAN
+from checks.tables import BRAND_OUTLIER, EVERY_STORE_FUTURE, FUTURE, OFFER_SPAN
 from shelfwise.operators import calendar as C
 from shelfwise.operators import lookup as L
 from shelfwise.operators import panel as N
@@ -107,8 +107,10 @@ def dense_own_range(spark: SparkSession, d: str) -> DataFrame:
 
 
 _HISTORY = "SELECT item_idnt AS item_code, loc_idnt AS store_id, day_dt FROM shelf_plan LEFT JOIN calendar USING (wk_idnt)"
-_FUTURE = f"""SELECT item_code, store_id, day_dt FROM (SELECT DISTINCT item_idnt AS item_code FROM shelf_plan),
-    (SELECT DISTINCT store_id, day_dt FROM calendar, store WHERE day_dt BETWEEN DATE '{FUTURE[0]}' AND DATE '{FUTURE[1]}' AND day_dt > loc_start_dt)"""
+_EVERY_STORE = f"""SELECT item_code, store_id, day_dt FROM (SELECT DISTINCT item_idnt AS item_code FROM shelf_plan),
+    (SELECT DISTINCT store_id, day_dt FROM calendar, store WHERE day_dt BETWEEN DATE '{EVERY_STORE_FUTURE[0]}' AND DATE '{EVERY_STORE_FUTURE[1]}' AND day_dt > loc_start_dt)"""
+_FUTURE = f"""SELECT item_code, p.store_id, day_dt FROM (SELECT DISTINCT item_idnt AS item_code, loc_idnt AS store_id FROM shelf_plan) p JOIN store USING (store_id), calendar
+    WHERE day_dt BETWEEN DATE '{FUTURE[0]}' AND DATE '{FUTURE[1]}' AND day_dt > loc_start_dt"""
 _PANEL = f"SELECT DISTINCT * FROM ({_HISTORY} UNION ALL {_FUTURE})"
 _PANEL_NEEDS = ("shelf_plan", "calendar", "store")
 
@@ -121,13 +123,18 @@ def _items(spark: SparkSession, d: str) -> DataFrame:
     return t.shelf_plan(spark, d).select(F.col("item_idnt").alias("item_code")).distinct()
 
 
+def _future(spark: SparkSession, d: str) -> DataFrame:
+    pairs = t.shelf_plan(spark, d).select(F.col("item_idnt").alias("item_code"), F.col("loc_idnt").alias("store_id"))
+    return N.future_days_of_assortment(pairs, t.store(spark, d), *FUTURE)
+
+
 def _panel_keys(spark: SparkSession, d: str) -> DataFrame:
-    future = N.future_days_of_open_stores(_items(spark, d), t.store(spark, d), *FUTURE)
+    future = _future(spark, d)
     return N.panel_keys(_history(spark, d), future, FUTURE[0])
 
 
 def _panel(spark: SparkSession, d: str) -> DataFrame:
-    future = N.future_days_of_open_stores(_items(spark, d), t.store(spark, d), *FUTURE)
+    future = _future(spark, d)
     return N.base_panel(_history(spark, d), future, t.calendar(spark), FUTURE[0])
 
 
@@ -136,18 +143,23 @@ def panel_history_week(spark: SparkSession, d: str) -> DataFrame:
     return _history(spark, d)
 
 
-@query(f"SELECT store_id, day_dt, count(*) AS n_items, min(item_code) AS first_item FROM ({_FUTURE}) GROUP BY ALL", _PANEL_NEEDS)
+@query(f"SELECT store_id, day_dt, count(*) AS n_items, min(item_code) AS first_item FROM ({_EVERY_STORE}) GROUP BY ALL", _PANEL_NEEDS)
 def panel_future_theta(spark: SparkSession, d: str) -> DataFrame:
-    future = N.future_days_of_open_stores(_items(spark, d), t.store(spark, d), *FUTURE)
+    future = N.future_days_of_open_stores(_items(spark, d), t.store(spark, d), *EVERY_STORE_FUTURE)
     return future.groupBy("store_id", "day_dt").agg(F.count(F.lit(1)).alias("n_items"), F.min("item_code").alias("first_item"))
 
 
-@query(f"SELECT store_id, day_dt, count(*) AS n_items, min(item_code) AS first_item FROM ({_FUTURE}) GROUP BY ALL", _PANEL_NEEDS)
+@query(f"SELECT store_id, day_dt, count(*) AS n_items, min(item_code) AS first_item FROM ({_EVERY_STORE}) GROUP BY ALL", _PANEL_NEEDS)
 def panel_future_sample(spark: SparkSession, d: str) -> DataFrame:
-    future = N.future_days_given(_items(spark, d), N.open_store_days(t.store(spark, d), *FUTURE))
+    future = N.future_days_given(_items(spark, d), N.open_store_days(t.store(spark, d), *EVERY_STORE_FUTURE))
     return future.groupBy("store_id", "day_dt").agg(F.count(F.lit(1)).alias("n_items"), F.min("item_code").alias("first_item"))
 
 
+@query(f"SELECT store_id, day_dt, count(*) AS n_items, min(item_code) AS first_item FROM ({_FUTURE}) GROUP BY ALL", _PANEL_NEEDS)
+def panel_future_assortment(spark: SparkSession, d: str) -> DataFrame:
+    return _future(spark, d).groupBy("store_id", "day_dt").agg(F.count(F.lit(1)).alias("n_items"), F.min("item_code").alias("first_item"))
+
+
 @query(
     f"""SELECT store_id, day_dt, weekday, day_type, is_5th, activity_desc, count(*) AS n_items, min(item_code) AS first_item
     FROM ({_PANEL}) LEFT JOIN calendar USING (day_dt) GROUP BY ALL""",

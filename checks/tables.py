@@ -10,8 +10,9 @@ from shelfwise.session import dealt
 
 SPLITS = Splits("1996-01-01", ("2000-07-01", "2000-07-28"), ("2000-07-29", "2000-08-18"), ("2000-10-01", "2000-12-31"))
 WINDOWS = SPLITS.windows
-OFFER_SPAN = ("1996-01-01", "2000-12-31")
-FUTURE = ("2001-01-01", "2001-01-02")
+OFFER_SPAN = ("1995-01-01", "2001-12-31")
+FUTURE = ("2001-01-01", "2001-01-14")
+EVERY_STORE_FUTURE = ("2001-01-01", "2001-01-02")
 CALENDAR_SPAN = ("1994-12-26", "2001-12-31")
 BRAND_OUTLIER = 100
 
@@ -309,10 +310,14 @@ def shelf_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SPLIT_SQL = f"""CASE WHEN day_dt >= DATE '{SPLITS.history_start}' AND day_dt < DATE '{SPLITS.v1[0]}' THEN 'train'
-    WHEN day_dt BETWEEN DATE '{SPLITS.v1[0]}' AND DATE '{SPLITS.v1[1]}' THEN 'v1'
-    WHEN day_dt BETWEEN DATE '{SPLITS.v2[0]}' AND DATE '{SPLITS.v2[1]}' THEN 'v2'
-    WHEN day_dt BETWEEN DATE '{SPLITS.test[0]}' AND DATE '{SPLITS.test[1]}' THEN 'test' END"""
+def split_sql(splits: Splits) -> str:
+    return f"""CASE WHEN day_dt >= DATE '{splits.history_start}' AND day_dt < DATE '{splits.v1[0]}' THEN 'train'
+    WHEN day_dt BETWEEN DATE '{splits.v1[0]}' AND DATE '{splits.v1[1]}' THEN 'v1'
+    WHEN day_dt BETWEEN DATE '{splits.v2[0]}' AND DATE '{splits.v2[1]}' THEN 'v2'
+    WHEN day_dt BETWEEN DATE '{splits.test[0]}' AND DATE '{splits.test[1]}' THEN 'test' END"""
+
+
+_SPLIT_SQL = split_sql(SPLITS)
 
 TABLES["brand_store_daily"] = (
     ("store",),

@@ -51,6 +51,18 @@ def future_days_of_open_stores(items: DataFrame, stores: DataFrame, start: str |
     return pairs.select("item_code", "store_id", F.explode(days_from(F.col("_first"), day(end))).alias("day_dt"))
 
 
+def future_days_of_assortment(pairs: DataFrame, stores: DataFrame, start: str | date, end: str | date) -> DataFrame:
+    """Every future day of every (item_code, store_id) of an assortment, from the day after the store's opening.
+
+    The default future: pairs that are planned or were sold lately. Its size follows the assortment;
+    `future_days_of_open_stores` has every item in every store, whose number grows with the product of both.
+    """
+    first = F.greatest(F.date_add("loc_start_dt", 1), day(start))
+    open_stores = stores.where(F.col("loc_start_dt") < day(end)).groupBy("store_id").agg(F.min(first).alias("_first"))
+    known = pairs.select("item_code", "store_id").distinct().join(open_stores, "store_id")
+    return known.select("item_code", "store_id", F.explode(days_from(F.col("_first"), day(end))).alias("day_dt"))
+
+
 def panel_keys(history: DataFrame, future: DataFrame, future_from: str | date) -> DataFrame:
     """History and future keys without repeats.
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalar import missing_to_null, ratio
+from shelfwise.session import stage_table
 
 RANGES_PER_MAGNITUDE = 64
 PARTS_PER_RANGE = 4096
@@ -32,13 +33,13 @@ def exact_median(df: DataFrame, keys: Sequence[str], column: str, weight: str |
     """Exact median per group without holding a group's values in one task.
 
     `weight` is an optional column of whole numbers: how many rows a row stands for.
-    Values are counted per (group, value), and the counts summed per order-preserving range of values.
+    Values are counted per (group, value) and stored, and the counts summed per order-preserving range of values.
     Only the ranges that hold the middle ranks are looked at again, cut evenly into parts; only the
     values of the parts that hold the middle ranks are ranked one by one.
     """
     keys = list(keys)
     v = F.col("_v")
-    counts = (
+    counts = stage_table(
         df.select(
             *keys,
             missing_to_null(F.col(column).cast("double")).alias("_v"),
@@ -47,7 +48,8 @@ def exact_median(df: DataFrame, keys: Sequence[str], column: str, weight: str |
         .where(v.isNotNull())
         .groupBy(*keys, "_v")
         .agg(F.sum("_w").alias("_n"))
-        .withColumn("_range", F.floor(F.signum(v) * F.log1p(F.abs(v)) * RANGES_PER_MAGNITUDE))
+        .withColumn("_range", F.floor(F.signum(v) * F.log1p(F.abs(v)) * RANGES_PER_MAGNITUDE)),
+        "counts",
     )
     total = F.sum("_n").over(Window.partitionBy(*keys))
     ranges = (
@@ -88,8 +90,9 @@ def _holding_middle(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame
 
 
 def fill_with_median(df: DataFrame, keys: Sequence[str], column: str, weight: str | None = None) -> DataFrame:
-    """Missing values take the exact median of their group."""
-    medians = exact_median(df, keys, column, weight)
+    """Missing values take the exact median of their group. The medians are stored, so that their size is known
+    when they are joined."""
+    medians = stage_table(exact_median(df, keys, column, weight), "medians")
     return join_on_keys(df, medians, keys).withColumn(column, F.coalesce(column, "median")).drop("median")
 
 
