@@ -1,14 +1,20 @@
 """Validation, forecast reports, export and correlation."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import tables as t
 from checks.registry import near, near_sql, query, rounded
+from checks.sales_queries import feature_rows
 from checks.tables import WINDOWS
+from shelfwise.constants import CORRELATION_FEATURES
 from shelfwise.operators import correlate as Y
 from shelfwise.operators import evaluate as V
+from shelfwise.plans import correlation as P
 from shelfwise.plans import export as X
+from shelfwise.session import shared_dir
 
 _SELL = """SELECT item_code, "window", loc_wh, sum(ttl_quantity) AS ttl_quantity, sum(y_pred) AS y_pred, sum(ttl_quantity) / nullif(sum(y_pred), 0) AS ratio
     FROM scored_windows GROUP BY ALL"""
@@ -287,3 +293,38 @@ def corr_json(spark: SparkSession, d: str) -> DataFrame:
     cells = rows.select("item", "i", "col_name", F.posexplode("line").alias("j", "corr"))
     named = cells.select("item", "i", "j", F.get("col_name", F.col("i")).alias("row_name"), F.get("col_name", F.col("j")).alias("col_name"), "corr")
     return rounded(named, "corr", digits=5)
+
+
+_REPORT_YEARS = list(range(1996, 2002))
+_REPORT_FEATURES = [*CORRELATION_FEATURES, *[f"year_{y}" for y in _REPORT_YEARS], *[f"month_{m}" for m in range(1, 13)]]
+t.TABLES["report_rows"] = (
+    ("features", "sales"),
+    f"""SELECT f.item_code, coalesce(f.ttl_quantity, 0) AS ttl_quantity, coalesce(s.ttl_amt_payment / nullif(f.ttl_quantity, 0), 0) AS deal_price,
+        {", ".join(f"coalesce(CAST(f.{c} AS DOUBLE), 0) AS {c}" for c in CORRELATION_FEATURES if c != "deal_price")},
+        {", ".join(f"CASE WHEN f.year = {y} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS year_{y}" for y in _REPORT_YEARS)}, {", ".join(f"CASE WHEN f.month = {m} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS month_{m}" for m in range(1, 13))}
+    FROM features f LEFT JOIN sales s ON s.item_code = f.item_code AND s.store_id = f.store_id AND s.day_dt = f.day_dt""",
+)
+_FACTS = ", ".join(
+    f"{{'feature': '{c}', 'corr': CASE WHEN min({c}) < max({c}) AND min(ttl_quantity) < max(ttl_quantity) THEN covar_pop({c}, ttl_quantity) / (stddev_pop({c}) * stddev_pop(ttl_quantity)) END}}"
+    for c in ["ttl_quantity", *_REPORT_FEATURES]
+)
+
+
+@query(
+    f"""SELECT item_code AS item, rank - 1 AS place, feature, {near_sql('coalesce(corr, 0)', 5)} AS corr FROM (
+        SELECT *, row_number() OVER (PARTITION BY item_code ORDER BY round(abs(corr), 9) DESC NULLS LAST, feature) AS rank FROM (
+            SELECT item_code, unnest(facts, recursive := true) FROM (SELECT item_code, [{_FACTS}] AS facts FROM report_rows GROUP BY item_code)))
+    WHERE rank <= 10 QUALIFY bool_or(feature = 'ttl_quantity') OVER (PARTITION BY item_code)""",
+    ("report_rows",),
+)
+def correlation_report(spark: SparkSession, d: str) -> DataFrame:
+    """Feature rows to the exported text and back: each item's top features in order, and their correlation with sales."""
+    paid = t.sales(spark, d).select("item_code", "store_id", "day_dt", "ttl_amt_payment")
+    rows = feature_rows(spark, d).join(paid, ["item_code", "store_id", "day_dt"], "left")
+    path = f"{shared_dir(spark).rstrip('/')}/correlations-{uuid.uuid4().hex}"
+    P.export_correlations(P.correlation_report(rows, _REPORT_YEARS), path)
+    back = P.read_correlations(spark, path).withColumn("b", F.from_json("corr_json", "col_name array<string>, data array<array<double>>"))
+    line = F.get("b.data", F.array_position("b.col_name", F.lit("ttl_quantity")).cast("int") - 1)
+    named = back.select("item", "b.col_name", line.alias("line")).where("array_contains(col_name, 'ttl_quantity')")
+    cells = named.select("item", "col_name", F.posexplode("line").alias("place", "corr"))
+    return rounded(cells.select("item", "place", F.get("col_name", F.col("place")).alias("feature"), "corr"), "corr", digits=5)

@@ -42,7 +42,7 @@ def with_tables(sql: str, needs: tuple[str, ...]) -> str:
         add(name)
     if not ordered:
         return sql
-    head = ",\n".join(f"{name} AS ({text})" for name, text in ordered.items())
+    head = ",\n".join(f"{name} AS MATERIALIZED ({text})" for name, text in ordered.items())
     return f"WITH {head}\n{sql}"
 
 
