@@ -1,8 +1,8 @@
 """Exact n-gram Jaccard join with set-relation skipping.
 
-Sets that are equal are one class. Classes that share a token of their prefixes, rarest tokens first, meet in a
-candidate cluster; each cluster is joined in tasks of bounded size, where index lists are skipped by block and a
-set takes over the answers of the set it is most alike.
+Sets that are equal are one class. Classes that share enough tokens of their prefixes, rarest tokens first, meet in
+a candidate cluster; each cluster is joined in tasks of bounded size, where index lists are skipped by block and
+a set takes over the answers of the set it is most alike.
 """
 
 from collections.abc import Iterator
@@ -10,17 +10,21 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import row_id, ship, shuffle_partitions, stage, whole_text
 from shelfwise.llm.components import components
-from shelfwise.llm.shingles import Shingler, set_digest
+from shelfwise.llm.shingles import Shingler, mixed, set_digest
 
 #: Shingles are counted in so many slots, a fixed 4 MB, to take rare ones first; any order gives right results.
 SLOT_BITS, SLOTS_PER_ROW = 20, 4096
-#: Sets that one task joins with each other, at most twice so many.
-BLOCK_SETS = 2048
+#: Sets, and shingles in them, that one task joins with each other; at most about twice so many.
+BLOCK_SETS, BLOCK_SHINGLES = 2048, 1_000_000
+#: Prefixes are so much longer than needed to share one token that linked sets share this many, or all they must.
+SHARED = 3
+#: Sets of one prefix token whose pairs are counted; more are tied to one of them, to meet in one cluster.
+PAIRED = 16
 #: Entries of an index list that are skipped or looked at together.
 LIST_BLOCK = 64
 
@@ -41,7 +45,7 @@ def _slot_counts(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts = Shingler(width), np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches:
-            slots = [shingler.shingles(t) >> np.uint64(64 - SLOT_BITS) for t in batch.column("text").to_pylist()]
+            slots = [s >> np.uint64(64 - SLOT_BITS) for s in shingler.of_texts(batch.column("text").to_pylist())]
             if slots:
                 counts += np.bincount(np.concatenate(slots).astype(np.int64), minlength=1 << SLOT_BITS)
         if counts.any():
@@ -84,14 +88,13 @@ def _describe(width: int, num: int, den: int, shared):
         shingler, counts = Shingler(width), shared.value
         for batch in batches:
             sizes, digests, prefixes = [], [], []
-            for text in batch.column("text").to_pylist():
-                own = shingler.shingles(text)
+            for own in shingler.of_texts(batch.column("text").to_pylist()):
                 sizes.append(len(own))
                 if len(own):
                     digests.append(set_digest(own))
                     # stable sort: ties stay in the order of the hashes
                     rare = np.argsort(counts[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
-                    prefixes.append(own[rare[: _prefix(len(own), num, den)]].view(np.int64))
+                    prefixes.append(own[rare[: _prefix(len(own), num, den) + SHARED - 1]].view(np.int64))
                 else:
                     digests.append(0)
                     prefixes.append(own.view(np.int64))
@@ -106,28 +109,86 @@ def _describe(width: int, num: int, den: int, shared):
 
 
 def _local_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, sid) once for each token of a batch; sets that share a token here are tied under a key of their own.
+    """(token, sid, n, many) of the prefixes of a batch. Of a token of more than PAIRED sets only one row leaves,
+    marked; its other sets are tied to that one, under keys of their own, two rows of which are marked.
 
     So a token of a third of all sets leaves a task in one row and not in one for each set.
     """
     for batch in batches:
         lists = batch.column("prefix")
         tokens = lists.flatten().to_numpy(zero_copy_only=False)
-        sids = np.repeat(batch.column("sid").to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy()))
+        counts = np.diff(lists.offsets.to_numpy())
+        sids, sizes = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), counts) for c in ("sid", "n"))
         order = np.lexsort((sids, tokens))
-        tokens, sids = tokens[order], sids[order]
+        tokens, sids, sizes = tokens[order], sids[order], sizes[order]
         if not len(tokens):
             continue
         first = np.concatenate([[True], tokens[1:] != tokens[:-1]])
-        heads = sids[first][np.cumsum(first) - 1]
-        ties = np.unique(np.stack([heads[~first], sids[~first]], 1), axis=0) if not first.all() else np.zeros((0, 2), np.int64)
-        ties = ties[ties[:, 0] != ties[:, 1]]
-        keys = ((ties[:, 0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ ties[:, 1].astype(np.uint64)).view(np.int64)
+        group = np.cumsum(first) - 1
+        many = np.bincount(group)[group] > PAIRED
+        tied = many & ~first
+        heads = sids[first][group]
+        ties = np.unique(np.stack([heads[tied], sids[tied]], 1), axis=0)
+        keys = mixed(ties[:, 0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ ties[:, 1].astype(np.uint64)).view(np.int64)
+        n = len(ties)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([tokens[first], keys, keys])), pa.array(np.concatenate([sids[first], ties[:, 0], ties[:, 1]]))], names=["token", "sid"]
+            [
+                pa.array(np.concatenate([tokens[~tied], keys, keys])),
+                pa.array(np.concatenate([sids[~tied], ties[:, 0], ties[:, 1]])),
+                pa.array(np.concatenate([sizes[~tied], np.zeros(2 * n, np.int64)])),
+                pa.array(np.concatenate([many[~tied], np.ones(2 * n, bool)])),
+            ],
+            names=["token", "sid", "n", "many"],
         )
 
 
+def _pairs(num: int, den: int):
+    """Candidate pairs (a, b, shared, need) of rows sorted by token, sid.
+
+    Sets of a token are paired if their sizes allow a link; with more than PAIRED or a marked row among them, each
+    is tied to the first, and no more than PAIRED rows are held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, held, tied_to = None, [], None
+        out: list[tuple[int, int, int, int]] = []
+
+        def close() -> None:
+            for j, (b, m, _) in enumerate(held):
+                for a, n, _ in held[:j]:
+                    if a != b and n * den >= m * num and m * den >= n * num:
+                        out.append((a, b, 1, min(SHARED, _least_overlap(n, m, num, den))))
+
+        for batch in batches:
+            tokens = batch.column("token").to_numpy(zero_copy_only=False)
+            # rows of a token alone in the batch's middle need no look
+            same = np.concatenate([[True], tokens[1:] == tokens[:-1]])
+            keep = np.flatnonzero(same | np.concatenate([same[1:], [True]]))
+            part = batch.take(pa.array(keep))
+            rows = zip(*(part.column(c).to_pylist() for c in ("token", "sid", "n", "many")), strict=True)
+            for key, sid, n, many in rows:
+                if key != token:
+                    close()
+                    token, held, tied_to = key, [], None
+                if tied_to is not None:
+                    if sid != tied_to:
+                        out.append((tied_to, sid, SHARED, 0))
+                    continue
+                held.append((sid, n, many))
+                if len(held) > PAIRED or many:
+                    tied_to = held[0][0]
+                    out.extend((tied_to, b, SHARED, 0) for b, _, _ in held if b != tied_to)
+                    held = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "shared", "need"])
+                out.clear()
+        close()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "shared", "need"])
+
+    return run
+
+
 class SkipJoin:
     """Joins sets in memory until every pair is compared, ruled out, or known to be connected already."""
 
@@ -247,7 +308,7 @@ def _tokens(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch in batches:
-            tokens = pa.array([shingler.shingles(t).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
+            tokens = pa.array([s.tobytes() for s in shingler.of_texts(batch.column("text").to_pylist())], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cluster", "task", "sid")), tokens], names=["cluster", "task", "sid", "tokens"])
 
     return run
@@ -273,7 +334,7 @@ def jaccard_classes(docs: DataFrame, width: int, threshold: str) -> DataFrame:
     Jaccard similarity reaches it, exactly: prefixes and clusters only rule out pairs that can't.
 
     Null and empty texts have empty sets, which link with nothing; repeated rows are of one class. A cluster of
-    more than BLOCK_SETS classes is dealt in blocks, first each with the first, then those classes that this
+    more than BLOCK_SETS classes, or BLOCK_SHINGLES in them, is dealt in blocks, first each with the first, then those classes that this
     leaves outside the cluster's largest component with every block.
     """
     spark = docs.sparkSession
@@ -285,12 +346,13 @@ def jaccard_classes(docs: DataFrame, width: int, threshold: str) -> DataFrame:
     described = stage(texts.mapInArrow(_describe(width, num, den, shared), "doc_id long, rid long, row long, n long, sid long, prefix array<long>"), "sets")
     full = described.where("n > 0")
     # a class's prefix does not depend on the row that gives it
-    classes = stage(full.groupBy("sid").agg(F.min("rid").alias("rid"), F.min_by("prefix", "rid").alias("prefix")), "classes")
-    lists = classes.select("sid", "prefix").mapInArrow(_local_lists, "token long, sid long")
-    head = F.min("sid").over(Window.partitionBy("token"))
-    ties = lists.select("sid", head.alias("head")).where("sid != head").select(F.col("sid").alias("a"), F.col("head").alias("b"))
-    clusters = components(ties).withColumnRenamed("root", "cluster").join(classes.select(F.col("sid").alias("node"), "rid"), "node")
-    dealt = stage(_dealt(clusters.select(F.col("node").alias("sid"), "rid", "cluster")), "dealt")
+    classes = stage(full.groupBy("sid").agg(F.min("rid").alias("rid"), F.first("n").alias("n"), F.min_by("prefix", "rid").alias("prefix")), "classes")
+    lists = classes.select("sid", "n", "prefix").mapInArrow(_local_lists, "token long, sid long, n long, many boolean")
+    lists = lists.repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "sid")
+    pairs = lists.mapInArrow(_pairs(num, den), "a long, b long, shared long, need long")
+    ties = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where("shared >= need").select("a", "b")
+    clusters = components(ties).withColumnRenamed("root", "cluster").join(classes.select(F.col("sid").alias("node"), "rid", "n"), "node")
+    dealt = stage(_dealt(clusters.select(F.col("node").alias("sid"), "rid", "n", "cluster")), "dealt")
     first = dealt.select("cluster", F.col("block").alias("task"), "sid", "rid")
     hubs = dealt.where("block = 0 and blocks > 1").select("cluster", F.explode(F.expr("sequence(1, blocks - 1)")).alias("task"), "sid", "rid")
     links = stage(_verified(texts, first.unionByName(hubs), width, num, den), "verified")
@@ -300,9 +362,13 @@ def jaccard_classes(docs: DataFrame, width: int, threshold: str) -> DataFrame:
     return described.join(roots, "sid", "left").select("doc_id", "rid", "row", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("root", "sid")).alias("component"))
 
 
+def _blocks() -> Column:
+    return F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("long")
+
+
 def _dealt(clusters: DataFrame) -> DataFrame:
     """Each class of a cluster in one of its blocks, by a hash of the class."""
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("blocks"))
+    sizes = clusters.groupBy("cluster").agg(_blocks().alias("blocks"))
     return clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("sid"), "blocks"))
 
 
@@ -312,7 +378,7 @@ def _unresolved(dealt: DataFrame, links: DataFrame) -> DataFrame:
     own = many.join(components(links).select(F.col("node").alias("sid"), "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     largest = own.groupBy("cluster", "root").count().groupBy("cluster").agg(F.max_by("root", "count").alias("largest"))
     left = own.join(largest, "cluster").where("root != largest")
-    parts = left.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts"))
+    parts = left.groupBy("cluster").agg(_blocks().alias("parts"))
     left = left.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64(F.lit(1), "sid"), "parts"))
     ours = left.select("cluster", F.explode(F.expr("sequence(part * blocks, part * blocks + blocks - 1)")).alias("task"), "sid", "rid")
     theirs = many.join(parts, "cluster").select("cluster", F.explode(F.expr("transform(sequence(0, parts - 1), p -> p * blocks + block)")).alias("task"), "sid", "rid")

@@ -1,12 +1,17 @@
 """Hashed word shingles of texts, in Python workers."""
 
+from collections.abc import Iterator
+
 import numpy as np
 import xxhash
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(33)
-#: Hashes of so many distinct words are kept per worker, then the memo starts anew.
-MEMO_WORDS = 1_000_000
+#: An odd base of polynomial hashes modulo 2 ** 64, and its inverse.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+#: Bytes whose hashes are in memory at a time.
+PIECE = 2 << 20
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -16,38 +21,85 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _SHIFT)
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+_LOWER = np.arange(256, dtype=np.uint64)
+_LOWER[65:91] += 32
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
 class Shingler:
     """The set of `width`-word shingles of a text as sorted distinct 64-bit hashes.
 
     Words are runs without ASCII white space, A-Z lower-cased. A text of fewer words is one shingle as a whole, one
-    without words has none.
+    without words has none. Words are hashed together, from prefix sums of a buffer of many texts.
     """
 
     def __init__(self, width: int):
-        self.width, self.memo = width, {}
-
-    def words(self, text: bytes) -> np.ndarray:
-        own, memo = text.lower().split(), self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        try:
-            return np.fromiter(map(memo.__getitem__, own), np.uint64, len(own))
-        except KeyError:
-            for w in set(own):
-                if w not in memo:
-                    memo[w] = xxhash.xxh3_64_intdigest(w)
-            return np.fromiter(map(memo.__getitem__, own), np.uint64, len(own))
-
-    def shingles(self, text: bytes) -> np.ndarray:
-        words = self.words(text)
-        if not len(words):
-            return words
-        width = min(self.width, len(words))
-        windows = len(words) - width + 1
-        h = np.full(windows, width, np.uint64)
+        self.width, self.up, self.down = width, powers(BASE, PIECE + 1), powers(INVERSE, PIECE + 1)
+
+    def _words(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Start and hash of each word; long data is cut at white space."""
+        starts, hashes, at = [], [], 0
+        while at < len(data):
+            end = len(data)
+            if end - at > PIECE:
+                part = np.frombuffer(data, np.uint8, PIECE, at)
+                spaces = np.flatnonzero(_SPACE[part])
+                if len(spaces):
+                    end = at + int(spaces[-1]) + 1
+                else:  # a word longer than a piece
+                    rest = np.flatnonzero(_SPACE[np.frombuffer(data, np.uint8, len(data) - at - PIECE, at + PIECE)])
+                    end = at + PIECE + int(rest[0]) + 1 if len(rest) else end
+            codes = np.frombuffer(data, np.uint8, end - at, at)
+            n = len(codes)
+            if n >= len(self.up):
+                self.up, self.down = powers(BASE, n + 1), powers(INVERSE, n + 1)
+            space = _SPACE[codes]
+            edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).view(np.int8)))
+            first, last = edge[::2], edge[1::2]
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum((_LOWER[codes] + np.uint64(1)) * self.up[:n], out=sums[1:])
+            hashes.append(mixed((sums[last] - sums[first]) * self.down[first] + (last - first).astype(np.uint64)))
+            starts.append(first + at)
+            at = end
+        return (np.concatenate(starts), np.concatenate(hashes)) if starts else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+    def _windows(self, words: np.ndarray, width: int) -> np.ndarray:
+        n = max(0, len(words) - width + 1)
+        h = np.full(n, width, np.uint64)
         for j in range(width):
-            h = mixed(h * _STEP + words[j : j + windows])
-        return np.unique(h)
+            h = mixed(h * _STEP + words[j : j + n])
+        return h
+
+    def of_texts(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """The sets of the texts, in order."""
+        held: list[bytes] = []
+        size = 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= PIECE:
+                yield from self._of_piece(held)
+                held, size = [], 0
+        if held:
+            yield from self._of_piece(held)
+
+    def _of_piece(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        starts, words = self._words(b" ".join(texts))
+        windows = self._windows(words, self.width)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        bounds = np.concatenate([[0], np.searchsorted(starts, ends)])
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if b - a >= self.width:
+                yield np.unique(windows[a : b - self.width + 1])
+            else:
+                yield self._windows(words[a:b], b - a) if b > a else words[:0]
 
 
 def set_digest(shingles: np.ndarray) -> int:

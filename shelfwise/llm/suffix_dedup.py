@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import row_id, ship, shuffle_partitions, stage, whole_text
-from shelfwise.llm.shingles import mixed
+from shelfwise.llm.shingles import BASE, INVERSE, mixed, powers
 
 #: Length of an anchor; shorter ones give fewer segments and more anchors that agree by chance.
 K = 24
@@ -30,24 +30,14 @@ SORT_ROWS = 20_000
 #: Fields of `at`: tie (18 bits), byte position (31), anchor's offset (7), windows less one (7).
 TIE, POS, OFF = 45, 14, 7
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 class PrefixHashes:
     """Polynomial hashes of any part of a buffer in constant time, modulo 2 ** 64."""
 
     def __init__(self, buffer: np.ndarray):
         n = len(buffer)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, max(n, 1))[:n], out=self.sums[1:])
-        self.inverse = _powers(_INVERSE, n + 1)
+        np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=self.sums[1:])
+        self.inverse = powers(INVERSE, n + 1)
 
     def part(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * self.inverse[start]
