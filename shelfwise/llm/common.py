@@ -1,13 +1,14 @@
 """Row identity, stored stages and table reading shared by the operators of this subpackage."""
 
 import os
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.session import shared_dir
+from shelfwise.session import stage_table
 
+#: Writes a table to the shared folder and reads it back: `stage(df, name)`.
+stage = stage_table
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -48,16 +49,5 @@ def with_text(df: DataFrame, changed: Column, text: Column, columns: list[str])
     return df.select(*(new[c].alias(c) if c in new else F.col(c) for c in columns))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as Parquet in the cluster's shared folder and read it back.
-
-    Cuts the lineage, so later steps neither recompute it nor lose it with an executor. The folder is the
-    cluster's checkpoint folder, whose owner clears it as with checkpoints.
-    """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
