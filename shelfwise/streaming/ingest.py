@@ -63,7 +63,7 @@ class DailySalesIngest:
         lines = self.prepare(batch).groupBy(*DAILY_KEYS).agg(F.sum("ttl_quantity").alias("ttl_quantity"))
         placed = lines.withColumns({PERIOD: F.trunc("day_dt", self.period), "batch_id": F.lit(batch_id)})
         _replace_partitions(placed, self.ledger, [PERIOD, "batch_id"])
-        ledger = batch.sparkSession.read.parquet(self.ledger)
+        ledger = batch.sparkSession.read.schema(placed.schema).parquet(self.ledger)
         touched = ledger.where(F.col("batch_id") == batch_id).select(PERIOD).distinct()
         refreshed = (
             ledger.where(F.col("batch_id") <= batch_id)
