@@ -15,7 +15,7 @@ from shelfwise.llm.common import lower_ascii, row_id, stage, whole_text
 #: Terms count by hash slot. The lexicon is one bit for each slot: 512 KB, whatever the corpus.
 SLOT_BITS = 22
 #: The band, as inverse document frequency ln(N / df): without the most frequent terms and without rare ones.
-IDF_BAND = (1.5, 9.0)
+IDF_BAND = (4.0, 7.0)
 #: Each subset keeps a term with probability 2 ** -bits. The first is the whole lexicon, as in plain I-Match; small
 #: subsets outlast larger edits.
 SUBSET_BITS = (0,) + (1,) * 2 + (2,) * 2 + (3,) * 3 + (4,) * 4 + (5,) * 5 + (6,) * 5 + (7,) * 5 + (8,) * 5
@@ -25,8 +25,8 @@ ROWS_PER_RANGE, MAX_RANGES = 500, 4096
 
 
 def terms(text: Column) -> Column:
-    """Words in lower case: runs of digits, letters and characters beyond ASCII."""
-    return F.filter(F.split(lower_ascii(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
+    """The distinct words in lower case: runs of digits, letters and characters beyond ASCII."""
+    return F.array_distinct(F.array_remove(F.split(lower_ascii(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), ""))
 
 
 def _slot(term_hash: Column) -> Column:
@@ -39,7 +39,7 @@ def fit_lexicon(docs: DataFrame, idf_band: tuple[float, float] = IDF_BAND) -> Da
     Frequencies count all documents; the counts are summed map-side before they are shuffled.
     """
     low, high = idf_band
-    seen = docs.select(F.explode(F.array_distinct(terms(whole_text()))).alias("term"))
+    seen = docs.select(F.explode(terms(whole_text())).alias("term"))
     counts = seen.groupBy(_slot(F.xxhash64("term")).alias("slot")).agg(F.count("*").alias("df"))
     inside = counts.where(F.log(F.lit(float(docs.count())) / F.col("df")).between(low, high))
     words = inside.groupBy(F.shiftrightunsigned("slot", 6).alias("word")).agg(
@@ -50,31 +50,30 @@ def fit_lexicon(docs: DataFrame, idf_band: tuple[float, float] = IDF_BAND) -> Da
     return stage(every.agg(F.transform(pairs, lambda p: p["bits"]).alias("bits")), "lexicon")
 
 
-def fingerprint(text: Column, lexicon: Column) -> Column:
-    """32 hashes of 8 hex digits, one for each lexicon subset, as one string.
+def with_fingerprint(docs: DataFrame, text: str, lexicon: DataFrame, name: str) -> DataFrame:
+    """Adds 32 hashes of 8 hex digits, one for each lexicon subset, as one string.
 
     A text without a term in the band uses all its terms, and one without any term its own hash, so only equal
     texts without terms agree. A subset that none of the terms is in gives dashes.
     """
     def inside(h: Column) -> Column:
         slot = _slot(h)
-        word = F.get(lexicon, F.shiftrightunsigned(slot, 6).cast("int"))
+        word = F.get(F.col("__lexicon"), F.shiftrightunsigned(slot, 6).cast("int"))
         return F.call_function("bit_get", word, slot.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    hashed = F.transform(terms(text), lambda w: F.xxhash64(w))
-    band = F.filter(hashed, inside)
-    kept = F.when(F.size(band) > 0, band).when(F.size(hashed) > 0, hashed).otherwise(F.array(F.xxhash64(F.lit("no terms"), text)))
-    ordered = F.array_sort(F.array_distinct(kept))
-    masks = F.array(*(F.lit((1 << b) - 1).cast("long") for b in SUBSET_BITS))
+    def in_subset(k: int, mask: Column):
+        return lambda h: F.xxhash64(h, F.lit(k)).bitwiseAND(mask) == 0
 
-    def subset(own: Column, k: Column) -> Column:
-        chosen = F.filter(own, lambda h: F.xxhash64(h, k).bitwiseAND(F.get(masks, k)) == 0)
-        return F.when(F.size(chosen) == 0, EMPTY).otherwise(F.lower(F.substring(F.lpad(F.hex(F.xxhash64(chosen)), 16, "0"), 1, 8)))
-
-    # the one-element transform binds the sorted terms once for all subsets
-    return F.array_join(
-        F.flatten(F.transform(F.array(ordered), lambda own: F.transform(F.sequence(F.lit(0), F.lit(len(SUBSET_BITS) - 1)), lambda k: subset(own, k)))), ""
-    )
+    # each step is a column of its own, which the steps after it read more than once and which is made once
+    docs = docs.withColumn("__hashed", F.transform(terms(F.col(text)), lambda w: F.xxhash64(w)))
+    docs = docs.withColumn("__lexicon", lexicon.scalar()).withColumn("__band", F.filter("__hashed", inside)).drop("__lexicon")
+    kept = F.when(F.size("__band") > 0, F.col("__band")).when(F.size("__hashed") > 0, F.col("__hashed"))
+    docs = docs.withColumn("__terms", F.sort_array(F.array_distinct(kept.otherwise(F.array(F.xxhash64(F.lit("no terms"), text))))))
+    subsets = F.array(*(F.filter("__terms", in_subset(k, F.lit((1 << bits) - 1).cast("long"))) for k, bits in enumerate(SUBSET_BITS)))
+    docs = docs.withColumn("__subsets", subsets)
+    # a lambda and not 32 columns: their generated code would be too long to be compiled
+    part = lambda s: F.when(F.size(s) == 0, EMPTY).otherwise(F.lower(F.substring(F.lpad(F.hex(F.xxhash64(s)), 16, "0"), 1, 8)))
+    return docs.withColumn(name, F.array_join(F.transform("__subsets", part), "")).drop("__hashed", "__band", "__terms", "__subsets")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -90,8 +89,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprints(docs: DataFrame, idf_band: tuple[float, float] = IDF_BAND) -> DataFrame:
     """All rows and columns of `docs` with `fingerprint`."""
-    with_bits = docs.withColumn("__lexicon", fit_lexicon(docs.select("text"), idf_band).scalar())
-    return with_bits.withColumn("fingerprint", fingerprint(whole_text(), F.col("__lexicon"))).drop("__lexicon")
+    lexicon = fit_lexicon(docs.select("text"), idf_band)
+    return with_fingerprint(docs.withColumn("__text", whole_text()), "__text", lexicon, "fingerprint").drop("__text")
 
 
 def with_next(docs: DataFrame, *columns: str) -> DataFrame:
@@ -133,10 +132,10 @@ def fingerprint_report(docs: DataFrame, idf_band: tuple[float, float] = IDF_BAND
     """
     lexicon = fit_lexicon(docs.select("text"), idf_band)
     own = docs.select("doc_id", row_id().alias("rid"), whole_text().alias("text"))
-    own = own.withColumn("__lexicon", lexicon.scalar()).withColumn("fingerprint", fingerprint(F.col("text"), F.col("__lexicon"))).drop("__lexicon")
+    own = with_fingerprint(own, "text", lexicon, "fingerprint")
     beside = with_next(own, "text", "fingerprint")
     beside = beside.withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    beside = beside.withColumn("__lexicon", lexicon.scalar()).withColumn("edited_fingerprint", fingerprint(F.col("edited"), F.col("__lexicon")))
+    beside = with_fingerprint(beside, "edited", lexicon, "edited_fingerprint")
     return beside.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
