@@ -107,6 +107,20 @@ def test_feature_table(spark):
     assert rows(later.where("day_dt = '2020-01-06'").select("retail_price").distinct()) == [11.0]
 
 
+def test_panel_is_not_shuffled_by_store(spark):
+    table = build_features(feature_inputs(spark), "2020-01-01", "2020-01-31", min_day="2020-01-01")
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(store_id" not in plan and plan.count("BroadcastHashJoin") >= 2
+
+
+def test_future_of_the_assortment(spark):
+    pairs = spark.createDataFrame([("1", "5"), ("1", "5"), ("2", "6"), ("2", "7"), ("3", "8")], "item_code string, store_id string")
+    stores = spark.createDataFrame([("5", d("2019-01-01")), ("6", d("2020-01-02")), ("7", None), ("8", d("2020-01-04"))], "store_id string, loc_start_dt date")
+    got = N.future_days_of_assortment(pairs, stores, "2020-01-01", "2020-01-04")
+    days = [d(f"2020-01-0{i}") for i in range(1, 5)]
+    assert rows(got, *N.PANEL_KEYS) == [("1", "5", x) for x in days] + [("2", "6", x) for x in days[2:]]
+
+
 def test_extra_features(spark):
     inputs = feature_inputs(spark)
     table = build_features(inputs, "2020-01-01", "2020-01-31", min_day="2020-01-01")
