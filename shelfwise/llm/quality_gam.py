@@ -224,7 +224,9 @@ def _keep(model: GamModel, threshold: float):
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of `docs`, all columns, that the classifier learned from `labels` accepts. Moves no text."""
-    known = labels.select("doc_id").distinct()
-    model = train(stage(features(docs.select("doc_id", "text").join(known, "doc_id", "left_semi")), "features"), labels)
+    """The rows of `docs`, all columns, that the classifier learned from `labels` accepts.
+
+    Moves no text: features are made in the scan, once to learn from and once to judge.
+    """
+    model = train(stage(features(docs), "features"), labels)
     return docs.mapInArrow(_keep(model, threshold), docs.schema)
