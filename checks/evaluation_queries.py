@@ -136,7 +136,7 @@ def residuals(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'SC_A5_LGBM_V1' AS model_id, item_code, store_id, day_dt, ttl_quantity, CASE WHEN y_pred - 20 < 0 THEN 0 ELSE y_pred - 20 END AS y_pred, CAST(1 AS BIGINT) AS istest
+    """SELECT 'SC_A5_LGBM_V1' AS model_id, item_code, store_id, day_dt, ttl_quantity, CASE WHEN y_pred - 20 < 0 THEN 0 ELSE round(y_pred - 20, 4) END AS y_pred, CAST(1 AS BIGINT) AS istest
     FROM scored WHERE split = 'test'""",
     ("scored",),
 )
