@@ -60,8 +60,13 @@ def date_or_null(value: str | Column) -> Column:
 
 
 def id_text(value: str | Column) -> Column:
-    """Ids that arrived as 12.0, 12 or '12' all become '12'."""
-    return as_column(value).cast("decimal(38, 4)").cast("long").cast("string")
+    """Ids that arrived as 12.0, 12 or '12' all become '12'; other text stays as it is, as in all other tables.
+
+    Leading zeros and fractions are kept, and text that is no number stops nothing.
+    """
+    text = F.trim(as_column(value).cast("string"))
+    plain = F.when(text.rlike(r"^-?[0-9.]+E[0-9]+$"), text.try_cast("decimal(38, 4)").cast("string")).otherwise(text)
+    return F.regexp_replace(plain, r"^(-?[0-9]+)\.0+$", "$1")
 
 
 def plausible_sale(quantity: str | Column, payment: str | Column) -> Column:

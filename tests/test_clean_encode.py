@@ -68,7 +68,8 @@ def test_scalars(spark):
     assert value(X.at_least_zero(F.lit(-1.0))) == 0.0
     assert value(X.at_least_zero(F.lit(None).cast("double"))) is None
     assert [value(X.fold_year(F.lit(y))) for y in (2019, 2020, 2021, 2022)] == [2019, 2020, 2020, 2022]
-    assert [value(X.id_text(F.lit(v))) for v in (12.0, 12, "12", "12.0", "012")] == ["12"] * 5
+    assert [value(X.id_text(F.lit(v))) for v in (12.0, 12, "12", "12.0", " 12 ")] == ["12"] * 5
+    assert [value(X.id_text(F.lit(v))) for v in ("012", "12.7", "A-7", 1.5e10, None)] == ["012", "12.7", "A-7", "15000000000", None]
     assert [value(X.number_or_null(F.lit(v))) for v in ("1.5", "x", "NaN", "inf", "")] == [1.5, None, None, None, None]
     assert [value(X.date_or_null(F.lit(v))) for v in ("2020-02-29", "2021-02-29", "soon")] == [d("2020-02-29"), None, None]
     assert value(X.store_key(F.lit(None).cast("string"), F.lit(7), F.lit(8))) == "7"
