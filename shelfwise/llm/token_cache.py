@@ -100,25 +100,25 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer_file: str, limit: i
     """
     spark, version = docs.sparkSession, tokenizer_version(tokenizer_file)
     ship(spark)
-    texts = docs.select("doc_id", row_id().alias("rid"), whole_text().alias("text"))
+    texts = docs.select("doc_id", row_id().alias("rid"), F.xxhash64(whole_text()).alias("row"), whole_text().alias("text"))
     keyed = stage(
-        texts.select("doc_id", "rid", F.octet_length("text").cast("long").alias("n_bytes"), content_digest(F.col("text")).alias("digest")),
+        texts.select("doc_id", "rid", "row", F.octet_length("text").cast("long").alias("n_bytes"), content_digest(F.col("text")).alias("digest")),
         "digests",
     )
     misses = (
-        keyed.groupBy("digest").agg(F.min("rid").alias("rid"))
-        .join(read_cache(spark, cache_path, version), "digest", "left_anti")
+        keyed.groupBy("digest").agg(F.min(F.struct("rid", "row")).alias("first"))
+        .join(read_cache(spark, cache_path, version), "digest", "left_anti").select("digest", "first.*")
     )
-    # rows that share a doc_id must not lend their text to another row's digest, so that is compared as well
+    # by a hash of the text as well: rows that share a doc_id must not lend their text to another row's digest
     encoded = (
-        texts.select("rid", "text").join(misses, "rid")
-        .where(content_digest(F.col("text")) == F.col("digest")).select("digest", "text")
+        texts.select("rid", "row", "text").join(misses, ["rid", "row"]).select("digest", "text")
         .mapInArrow(_encode(tokenizer_file), "digest binary, n_tokens long")
     )
     encoded.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")).select(
         "digest", F.lit(version).alias("tokenizer"), "n_tokens"
     ).write.mode("append").parquet(cache_path)
-    counts = read_cache(spark, cache_path, version)
+    # stored, so that both sides of the join are plain shuffles, whose hot digests AQE can split
+    counts = stage(read_cache(spark, cache_path, version), "counts")
     return keyed.join(counts, "digest", "left").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), F.lower(F.hex("digest")).alias("digest")
     )
