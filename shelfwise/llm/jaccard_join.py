@@ -315,11 +315,15 @@ def _tokens(width: int):
 
 
 def _verified(texts: DataFrame, dealt: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Links among the classes of each (cluster, task) of `dealt` (cluster, task, sid, rid)."""
+    """Links among the classes of each (cluster, task) of `dealt` (cluster, task, sid, rid).
+
+    The texts are shuffled at every size of `dealt`: a plan that broadcasts it while it is small does not show what
+    the join will need.
+    """
     homes = dealt.groupBy("rid", "sid", "cluster").agg(F.collect_list("task").alias("tasks"))
     schema = "cluster long, task array<long>, sid long, tokens binary"
     sets = (
-        texts.select("rid", "text").join(homes, "rid").select("cluster", F.col("tasks").alias("task"), "sid", "text")
+        texts.select("rid", "text").join(homes.hint("merge"), "rid").select("cluster", F.col("tasks").alias("task"), "sid", "text")
         .mapInArrow(_tokens(width), schema)
     )
     rows = sets.withColumn("task", F.explode("task"))
@@ -358,7 +362,8 @@ def jaccard_classes(docs: DataFrame, width: int, threshold: str) -> DataFrame:
     links = stage(_verified(texts, first.unionByName(hubs), width, num, den), "verified")
     if dealt.where("blocks > 1").limit(1).count():
         links = links.unionByName(stage(_verified(texts, _unresolved(dealt, links), width, num, den), "verified"))
-    roots = components(links).select(F.col("node").alias("sid"), "root")
+    # stored, so that both sides of the join are plain shuffles, whose hot classes AQE can split
+    roots = stage(components(links).select(F.col("node").alias("sid"), "root"), "roots")
     return described.join(roots, "sid", "left").select("doc_id", "rid", "row", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("root", "sid")).alias("component"))
 
 
@@ -388,5 +393,5 @@ def _unresolved(dealt: DataFrame, links: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, width: int = 3, threshold: str = "0.9") -> DataFrame:
     """Per document: doc_id, n_shingles and component_id, the smallest doc_id that links reach from it."""
     found = stage(jaccard_classes(docs, width, threshold), "components")
-    least = found.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = stage(found.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least")), "least")
     return found.join(least, "component", "left").select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
