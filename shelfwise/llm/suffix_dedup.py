@@ -118,6 +118,9 @@ def _find_segments(length: int):
             anchor, segment, rid, at = (np.concatenate(c) for c in zip(*found, strict=True))
             order = np.lexsort((at, rid, segment, anchor))
             anchor, segment, rid, at = anchor[order], segment[order], rid[order], at[order]
+            # equal rid and at: the same place of a repeated row, which repeats nothing
+            own = np.concatenate([[True], (rid[1:] != rid[:-1]) | (at[1:] != at[:-1]) | (segment[1:] != segment[:-1]) | (anchor[1:] != anchor[:-1])])
+            anchor, segment, rid, at = anchor[own], segment[own], rid[own], at[own]
             first = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (segment[1:] != segment[:-1])])
             gone_rid, gone_at, gone_end = _runs(rid[~first], at[~first] >> POS << POS, (at[~first] >> POS & 0x7FFFFFFF) + (at[~first] & 0x7F) + length)
             n, m = int(first.sum()), len(gone_rid)
@@ -252,11 +255,19 @@ _FOUND = "rid long, at long, `end` long, hash long"
 
 
 def _contexts(length: int):
+    """The bytes of each edge. Of repeated rows that follow each other, as a join by rid leaves them, only the first gives them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, ties = None, set()
         for batch in batches:
             keys, salts, rids, ats, contexts = [], [], [], [], []
             for rid, text, edges in zip(batch.column("rid").to_pylist(), batch.column("text").to_pylist(), batch.column("edges").to_pylist(), strict=True):
                 tie = zlib.crc32(text) & 0x3FFFF
+                if rid != current:
+                    current, ties = rid, set()
+                if tie in ties:
+                    continue
+                ties.add(tie)
                 for edge in edges:
                     at = edge["at"]
                     if at >> TIE == tie:
@@ -285,7 +296,8 @@ def _sort_groups(length: int):
                 if len(held) >= SORT_ROWS and row[:2] != held[-1][:2]:
                     yield from _sort_held(held, length)
                     held = []
-                held.append(row)
+                if not held or row[:4] != held[-1][:4]:  # else the same place of a repeated row
+                    held.append(row)
         if held:
             yield from _sort_held(held, length)
 
@@ -322,7 +334,8 @@ def _found(rid: np.ndarray, at: np.ndarray, end: np.ndarray, hashes: np.ndarray,
 def repeated_spans(texts: DataFrame, length: int = 100) -> DataFrame:
     """rid, at (its bits: tie, start), end: runs of bytes that repeat earlier ones, of `texts` (rid, text as binary).
 
-    Documents go by rid, then by a checksum of the text, so that rows of equal id and text count as one.
+    Documents go by rid, then by a checksum of the text, so that rows of equal id and text count as one: equal
+    segments of the same rid and at are taken once, and so are equal contexts.
     """
     spark = texts.sparkSession
     ship(spark)
@@ -330,10 +343,11 @@ def repeated_spans(texts: DataFrame, length: int = 100) -> DataFrame:
     by_key = Window.partitionBy("key")
     in_order = by_key.orderBy("removed", "segment", "rid", "at")
     rows = rows.select(
-        "*", F.lag("segment").over(in_order).alias("before"),
+        "*", F.lag(F.struct("removed", "segment", "rid", "at")).over(in_order).alias("before"),
         *(f(F.when(~F.col("removed"), F.col("segment"))).over(by_key).alias(n) for f, n in ((F.min, "least"), (F.max, "most"))),
     )
-    again = ~F.col("removed") & (F.col("segment") == F.col("before"))
+    rows = rows.where(F.col("removed") | F.col("before").isNull() | (F.struct("removed", "segment", "rid", "at") != F.col("before")))
+    again = ~F.col("removed") & (F.col("segment") == F.col("before.segment"))
     ends = F.when(F.col("removed"), F.col("segment")).when(again, F.shiftright("at", POS).bitwiseAND(F.lit(0x7FFFFFFF)) + F.col("at").bitwiseAND(F.lit(0x7F)) + length)
     marked = stage(
         rows.select("key", "rid", "at", ends.alias("end"), (F.col("least") != F.col("most")).alias("edge")).where("end is not null or edge"), "segments"

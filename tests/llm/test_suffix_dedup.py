@@ -50,6 +50,31 @@ def test_small_pieces_and_dealt_anchors(spark, make, monkeypatch):
     assert report(make(list(enumerate(texts)))) == brute([(i, t.encode()) for i, t in enumerate(texts)])
 
 
+def copies_with_brute(rng):
+    """Rows of which some are repeated as they are, with an id or without, and what brute force makes of them as one document each."""
+    texts = [t for t in dict.fromkeys(corpus(rng, 40)) if len(t.encode()) > 100]
+    none = "".join(rng.choice("abcdefgh") for _ in range(300))
+    rows = [(i, t) for i, t in enumerate(texts) for _ in range(1 + 2 * (i % 3 == 0))] + [(None, none)] * 3 + [(900, none[50:250] + "z" * 60)]
+    rng.shuffle(rows)
+    want = brute([(None, none.encode()), *((i, t.encode()) for i, t in enumerate(texts)), (900, (none[50:250] + "z" * 60).encode())])
+    return rows, sorted(((i, *want[i]) for i, _ in rows), key=str)
+
+
+def test_repeated_rows_are_one_document(spark, make):
+    """In one batch and in batches of their own; nothing of them is lost."""
+    rows, want = copies_with_brute(random.Random(5))
+    for docs in (make(rows).coalesce(1), make(rows).repartition(8)):
+        assert sorted((tuple(r) for r in S.remove_repeats(docs).drop("removed").collect()), key=str) == want
+
+
+def test_repeated_rows_with_dealt_anchors(spark, make, monkeypatch):
+    monkeypatch.setattr(S, "PIECE", 300)
+    monkeypatch.setattr(S, "SPLIT", 3)
+    monkeypatch.setattr(S, "SORT_ROWS", 10)
+    rows, want = copies_with_brute(random.Random(6))
+    assert sorted((tuple(r) for r in S.remove_repeats(make(rows).repartition(8)).drop("removed").collect()), key=str) == want
+
+
 def test_sorted_suffixes():
     rng = random.Random(4)
     contexts = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 30))).encode() for _ in range(200)]
