@@ -315,15 +315,17 @@ def _tokens(width: int):
 
 
 def _verified(texts: DataFrame, dealt: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Links among the classes of each (cluster, task) of `dealt` (cluster, task, sid, rid).
+    """Links among the classes of each (cluster, task) of `dealt` (cluster, task, sid, rid, row).
+
+    A class's set is that of its row by rid and hash of the text, as rows of one id may differ in text.
 
     The texts are shuffled at every size of `dealt`: a plan that broadcasts it while it is small does not show what
     the join will need.
     """
-    homes = dealt.groupBy("rid", "sid", "cluster").agg(F.collect_list("task").alias("tasks"))
+    homes = dealt.groupBy("rid", "row", "sid", "cluster").agg(F.collect_list("task").alias("tasks"))
     schema = "cluster long, task array<long>, sid long, tokens binary"
     sets = (
-        texts.select("rid", "text").join(homes.hint("merge"), "rid").select("cluster", F.col("tasks").alias("task"), "sid", "text")
+        texts.select("rid", "row", "text").join(homes.hint("merge"), ["rid", "row"]).select("cluster", F.col("tasks").alias("task"), "sid", "text")
         .mapInArrow(_tokens(width), schema)
     )
     rows = sets.withColumn("task", F.explode("task"))
@@ -350,15 +352,16 @@ def jaccard_classes(docs: DataFrame, width: int, threshold: str) -> DataFrame:
     described = stage(texts.mapInArrow(_describe(width, num, den, shared), "doc_id long, rid long, row long, n long, sid long, prefix array<long>"), "sets")
     full = described.where("n > 0")
     # a class's prefix does not depend on the row that gives it
-    classes = stage(full.groupBy("sid").agg(F.min("rid").alias("rid"), F.first("n").alias("n"), F.min_by("prefix", "rid").alias("prefix")), "classes")
+    classes = full.groupBy("sid").agg(F.min(F.struct("rid", "row")).alias("home"), F.first("n").alias("n"), F.min_by("prefix", F.struct("rid", "row")).alias("prefix"))
+    classes = stage(classes.select("sid", "home.*", "n", "prefix"), "classes")
     lists = classes.select("sid", "n", "prefix").mapInArrow(_local_lists, "token long, sid long, n long, many boolean")
     lists = lists.repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "sid")
     pairs = lists.mapInArrow(_pairs(num, den), "a long, b long, shared long, need long")
     ties = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where("shared >= need").select("a", "b")
-    clusters = components(ties).withColumnRenamed("root", "cluster").join(classes.select(F.col("sid").alias("node"), "rid", "n"), "node")
-    dealt = stage(_dealt(clusters.select(F.col("node").alias("sid"), "rid", "n", "cluster")), "dealt")
-    first = dealt.select("cluster", F.col("block").alias("task"), "sid", "rid")
-    hubs = dealt.where("block = 0 and blocks > 1").select("cluster", F.explode(F.expr("sequence(1, blocks - 1)")).alias("task"), "sid", "rid")
+    clusters = components(ties).withColumnRenamed("root", "cluster").join(classes.select(F.col("sid").alias("node"), "rid", "row", "n"), "node")
+    dealt = stage(_dealt(clusters.select(F.col("node").alias("sid"), "rid", "row", "n", "cluster")), "dealt")
+    first = dealt.select("cluster", F.col("block").alias("task"), "sid", "rid", "row")
+    hubs = dealt.where("block = 0 and blocks > 1").select("cluster", F.explode(F.expr("sequence(1, blocks - 1)")).alias("task"), "sid", "rid", "row")
     links = stage(_verified(texts, first.unionByName(hubs), width, num, den), "verified")
     if dealt.where("blocks > 1").limit(1).count():
         links = links.unionByName(stage(_verified(texts, _unresolved(dealt, links), width, num, den), "verified"))
@@ -385,8 +388,8 @@ def _unresolved(dealt: DataFrame, links: DataFrame) -> DataFrame:
     left = own.join(largest, "cluster").where("root != largest")
     parts = left.groupBy("cluster").agg(_blocks().alias("parts"))
     left = left.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64(F.lit(1), "sid"), "parts"))
-    ours = left.select("cluster", F.explode(F.expr("sequence(part * blocks, part * blocks + blocks - 1)")).alias("task"), "sid", "rid")
-    theirs = many.join(parts, "cluster").select("cluster", F.explode(F.expr("transform(sequence(0, parts - 1), p -> p * blocks + block)")).alias("task"), "sid", "rid")
+    ours = left.select("cluster", F.explode(F.expr("sequence(part * blocks, part * blocks + blocks - 1)")).alias("task"), "sid", "rid", "row")
+    theirs = many.join(parts, "cluster").select("cluster", F.explode(F.expr("transform(sequence(0, parts - 1), p -> p * blocks + block)")).alias("task"), "sid", "rid", "row")
     return ours.unionByName(theirs).distinct()
 
 

@@ -69,6 +69,20 @@ def test_odd_rows(spark, make, odd_rows):
     assert got(make([(1, None)]), 3, "0.9") == [("1", 0, 1)]
 
 
+def test_texts_of_one_id(spark, make):
+    """Each class is compared by its own set, whichever text of a shared id arrives first."""
+    rng = random.Random(10)
+    rows = []
+    for i in range(30):
+        near, far = ([f"{k}{rng.randint(0, 10**6)}" for _ in range(60)] for k in "nf")
+        pair = [(i, " ".join(near)), (i, " ".join(far))]
+        rows += [*(pair if i % 2 else pair[::-1]), (100 + i, " ".join([*near[:-1], "other"]))]
+        if i % 3 == 0:
+            rows.append((200 + i, " ".join([*far[:-1], "other"])))
+    for docs in (make(rows).coalesce(1), make(rows[::-1]).coalesce(1)):
+        assert got(docs, 3, "0.9") == brute(rows, 3, "0.9")
+
+
 def test_components(spark):
     rng = random.Random(9)
     links = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 140)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
