@@ -71,8 +71,8 @@ def measures(value: Column, before: Column, after: Column, path: Column, known:
 
 def weak_labels(value: Column, before: Column) -> Column:
     """Labels where none were given by hand: 1 right after a credential's name and assignment, 0 for words, plain
-    numbers and runs of signs; null for all else, which is left to the forest."""
-    return F.when(before.rlike(ASSIGNED), 1).when(value.rlike("^(?:[A-Za-z]?[a-z_-]+|[A-Z_-]+|[0-9_+-]+|[^A-Za-z0-9]+)$"), 0)
+    numbers and runs of signs, also with a swallowed '='; null for all else, which is left to the forest."""
+    return F.when(before.rlike(ASSIGNED), 1).when(value.rlike("^(?:[A-Za-z]?[a-z_-]+|[A-Z_-]+|[0-9_+-]+|[^A-Za-z0-9]+)=*$"), 0)
 
 
 def findings(docs: DataFrame, path: str | None = "source") -> DataFrame:
@@ -81,13 +81,20 @@ def findings(docs: DataFrame, path: str | None = "source") -> DataFrame:
     where = F.lit("") if path is None else F.coalesce(F.col(path).cast("string"), F.lit(""))
     own = docs.select(whole_text().alias("__text"), where.alias("path")).where(F.col("__text").rlike(CANDIDATE))
     own = own.select("path", finds.alias("finds"), parts.alias("parts"))
-    one = F.transform("finds", lambda v, i: _context(v, F.col("parts"), i))
+    one = F.transform("finds", lambda v, i: _context(v, F.col("finds"), F.col("parts"), i))
     return own.select("path", F.explode(one).alias("one")).select("one.value", "one.before", "one.after", "path")
 
 
-def _context(value: Column, parts: Column, i: Column) -> Column:
+def _context(value: Column, finds: Column, parts: Column, i: Column) -> Column:
+    """The value and CONTEXT characters of the text on both sides of it.
+
+    Neighbouring candidates are part of them: a long credential name is one. Three of them are longer than CONTEXT.
+    """
+    piece = lambda cut, of, at: F.coalesce(cut(F.get(of, at), F.lit(CONTEXT)), F.lit(""))
+    ahead = [piece(F.right, of, i - k) for k in (3, 2, 1) for of in (parts, finds)][1:] + [piece(F.right, parts, i)]
+    behind = [piece(F.left, of, i + k) for k in (1, 2, 3) for of in (parts, finds)]
     return F.struct(
-        value.alias("value"), F.right(F.get(parts, i), F.lit(CONTEXT)).alias("before"), F.left(F.get(parts, i + 1), F.lit(CONTEXT)).alias("after")
+        value.alias("value"), F.right(F.concat(*ahead), F.lit(CONTEXT)).alias("before"), F.left(F.concat(*behind), F.lit(CONTEXT)).alias("after")
     )
 
 
@@ -164,7 +171,7 @@ def find_secrets(docs: DataFrame, forest: Forest, path: str | None = "source") -
     begin = lambda i: (F.get("__before", i) + F.char_length(F.get("__parts", i))).cast("int")
     placed = F.transform(
         "__finds",
-        lambda v, i: F.struct(begin(i).alias("start"), (begin(i) + F.char_length(v)).alias("stop"), _context(v, F.col("__parts"), i).alias("c")),
+        lambda v, i: F.struct(begin(i).alias("start"), (begin(i) + F.char_length(v)).alias("stop"), _context(v, F.col("__finds"), F.col("__parts"), i).alias("c")),
     )
     judged = F.transform(
         placed, lambda p: F.struct(p["start"], p["stop"], forest.score(p["c"]["value"], p["c"]["before"], p["c"]["after"], F.col("__path")).alias("score"))

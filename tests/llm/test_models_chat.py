@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -90,6 +91,25 @@ def test_secrets(spark, make):
     assert cleaned[1].text == rows[1][1] and cleaned[901].text is None and cleaned[0].score == "x"
 
 
+def test_long_credential_names(spark, make):
+    """Names of 16 or more key characters are candidates themselves and still stand before their values."""
+    rng = random.Random(8)
+    key = lambda: "".join(rng.choice("0123456789abcdefABCDEF") for _ in range(40))
+    forms = ["AWS_SECRET_ACCESS_KEY={}", '"aws_secret_access_key": "{}"', "DATABASE_PASSWORD='{}'", "GITHUB_ACCESS_TOKEN: {}"]
+    rows, real = [], {}
+    for i in range(120):
+        words = [rng.choice(["donaudampfschifffahrt", "the", "house", "4111111111111111", "é"]) for _ in range(9)]
+        if i % 2:
+            real[i] = key()
+            words.insert(4, forms[i // 2 % 4].format(real[i]))
+        rows.append((i, " ".join(words)))
+    want = sorted((m[0], t[max(0, m.start() - 40) : m.start()], t[m.end() : m.end() + 40]) for _, t in rows for m in re.finditer(secrets.CANDIDATE, t))
+    assert sorted(tuple(r)[:3] for r in secrets.findings(make(rows)).collect()) == want
+    got = {r.doc_id: r for r in secrets.secret_report(make(rows)).collect()}
+    for i, text in rows:
+        assert [text[slice(*map(int, s.split(":")))] for s in got[i].spans.split(",") if s] == ([real[i]] if i in real else [])
+
+
 def test_secrets_without_labels(spark, make):
     assert secrets.secret_report(make([])).collect() == []
     got = secrets.secret_report(make([(1, "word word"), (2, "0123456789abcdef0123")])).collect()
