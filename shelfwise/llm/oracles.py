@@ -114,3 +114,30 @@ def pii_sql() -> str:
         sha256(coalesce(o.base, '')) AS base_sha256, coalesce(o.spans, '') AS spans, coalesce(o.top, 0.0) AS top_score
     FROM doc d LEFT JOIN own o USING (doc_id)
     """
+
+HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id AS vec_id, CAST(list_inner_product(a.e, r.e) AS BIGINT) AS score FROM v AS a JOIN v AS r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank", vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score QUALIFY "rank" <= 5
+"""
+
+COLLOCATIONS = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g FROM words, (VALUES (1), (2), (3)) AS t(k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL),
+c AS (SELECT *, string_split(g, ' ') AS p FROM f WHERE k > 1 AND f >= 10),
+cuts AS (SELECT lang, k, g, p, f, cut, array_to_string(p[1:cut], ' ') AS lg, array_to_string(p[cut + 1:], ' ') AS rg FROM c, (VALUES (1), (2)) AS t(cut) WHERE cut < k),
+scored AS (SELECT cuts.lang, cuts.k, cuts.g, p, cuts.f AS a, a.f AS l, b.f AS r, CAST(CAST(1000000 AS HUGEINT) * cuts.f * cuts.f // (CAST(a.f AS HUGEINT) * b.f) AS BIGINT) AS score, cut
+FROM cuts JOIN f AS a ON a.lang = cuts.lang AND a.g = lg JOIN f AS b ON b.lang = cuts.lang AND b.g = rg
+QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.g ORDER BY score, cut) = 1),
+inner_ AS (SELECT lang, unnest([array_to_string(p[1:2], ' '), array_to_string(p[2:3], ' ')]) AS g, a AS longer FROM scored WHERE k = 3),
+most AS (SELECT lang, g, max(longer) AS longer FROM inner_ GROUP BY ALL),
+kept AS (SELECT scored.* FROM scored LEFT JOIN most USING (lang, g) WHERE k = 3 OR longer IS NULL OR 100 * longer < 50 * a),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS INTEGER) AS "rank", g AS phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY "rank" <= 2000
+"""

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from shelfwise.llm import oracles
 from shelfwise.llm.chat_views import rotate_perspectives
+from shelfwise.llm.collocations import collocations
 from shelfwise.llm.common import table
 from shelfwise.llm.decontaminate import contamination
+from shelfwise.llm.hard_negatives import hard_negatives
 from shelfwise.llm.imatch import fingerprint_report
 from shelfwise.llm.jaccard_join import jaccard_components
 from shelfwise.llm.pareto_mix import mix_sources
@@ -74,6 +76,16 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector against all vectors."""
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of two or three words in all documents, 2,000 of each language."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -90,6 +102,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_collocations": op12_collocations,
     "pipeline": pipeline,
 }
 ORACLES = {
@@ -97,4 +111,6 @@ ORACLES = {
     "op3_decontamination": oracles.DECONTAMINATION,
     "op7_pareto_mix": oracles.PARETO_MIX,
     "op8_pii": oracles.pii_sql(),
+    "op11_hard_negatives": oracles.HARD_NEGATIVES,
+    "op12_collocations": oracles.COLLOCATIONS,
 }
