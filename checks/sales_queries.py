@@ -133,6 +133,11 @@ def _panel_keys(spark: SparkSession, d: str) -> DataFrame:
     return N.panel_keys(_history(spark, d), future, FUTURE[0])
 
 
+def panel_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Panel keys of known stores."""
+    return _panel_keys(spark, d).join(t.store(spark, d).select("store_id"), "store_id", "left_semi").where("day_dt IS NOT NULL")
+
+
 def _panel(spark: SparkSession, d: str) -> DataFrame:
     future = _future(spark, d)
     return N.base_panel(_history(spark, d), future, t.calendar(spark), FUTURE[0])
@@ -209,7 +214,7 @@ t.TABLES["sales_capped"] = (
 _MONEY = ["retail_price", "amount", "prom_price", "unit_price", "p_rate"]
 
 
-def feature_rows(spark: SparkSession, d: str, encode: tuple[str, ...] = (), code_map: DataFrame | None = None) -> DataFrame:
+def feature_rows(spark: SparkSession, d: str, encode: tuple[str, ...] = (), code_map: DataFrame | None = None, **more) -> DataFrame:
     stores = t.store(spark, d).select("store_id", "area_idnt", "loc_wh", "store_type", "loc_selling_area", "pds_grace")
     inputs = FeatureInputs(
         panel=_panel_keys(spark, d),
@@ -220,7 +225,7 @@ def feature_rows(spark: SparkSession, d: str, encode: tuple[str, ...] = (), code
         code_map=code_map,
         calendar=t.calendar(spark).select("day_dt", "year", "month", "weekday", "day_type", "is_5th", "activity_desc"),
     )
-    return build_features(inputs, *OFFER_SPAN, encode=encode, outlier_quantity=40, min_day="1996-01-01")
+    return build_features(inputs, *OFFER_SPAN, encode=encode, outlier_quantity=40, min_day="1996-01-01", **more)
 
 
 t.TABLES["features"] = ((*_PANEL_NEEDS, "promo_days", "sales_capped", "product"), _FEATURES)
@@ -265,8 +270,7 @@ def feature_table(spark: SparkSession, d: str) -> DataFrame:
 )
 def extra_features(spark: SparkSession, d: str) -> DataFrame:
     offers = t.offers(spark, d)
-    panel = _panel_keys(spark, d).join(t.store(spark, d).select("store_id"), "store_id", "left_semi").where("day_dt IS NOT NULL")
-    days = promotion_days(panel, offers, *OFFER_SPAN).withColumn("area_idnt", F.lit("1"))
+    days = promotion_days(panel_rows(spark, d), offers, *OFFER_SPAN).withColumn("area_idnt", F.lit("1"))
     actual = (
         t.sales(spark, d)
         .groupBy("item_code", "day_dt")

@@ -23,24 +23,24 @@ OFFER_COLUMNS = [
 
 # Spelling corrections of store attributes (simultaneous, never chained).
 LOCATION_TYPE_MAP = {
-    "Inline": "inline",
     "Inmall": "inmall",
     "Inline+inmall": "inline+inmall",
-    " Inline+inmall": "inline+inmall",
-    "Inline+Inmall": "inline+inmall",
-    "Inmall+inline": "inline+inmall",
     "Inmall+Inline": "inline+inmall",
+    "Inmall+inline": "inline+inmall",
     "inmall+inline": "inline+inmall",
+    "Inline": "inline",
+    "Inline+Inmall": "inline+inmall",
+    " Inline+inmall": "inline+inmall",
 }
 FLOOR_TYPE_MAP = {
+    "G/F+2/F": "G/F+1/F",
+    "G/F+4/F": "G/F+1/F",
+    "G/F+B/2": "B/1+G/F",
     "1/F+B/2": "1/F",
     "2/F+B/3": "2/F",
-    "B1": "B/1",
     "B1/F": "B1",
-    "G/F+2/F": "G/F+1/F",
-    "G/F+4/F": "G/F+1/F",
     "G/F+B/1": "B/1+G/F",
-    "G/F+B/2": "B/1+G/F",
+    "B1": "B/1",
 }
 GRADE_MAP = {"高级": "Premium", "标准": "Standard", "经济": "Economy"}
 VALUE_MAPS = {

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.session import salts as session_salts
+from shelfwise.session import stage_table
 
 
 def fully_spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -91,3 +92,32 @@ def dictionary_encode(df: DataFrame, code_map: DataFrame, features: Sequence[str
         )
         df = df.withColumn(feature, F.col(feature).cast("string")).join(codes, feature, "left").drop(feature)
     return df
+
+
+#: Codes of a type that fit in a map that every row is looked up in; Spark searches a map entry by entry.
+MAP_ENTRIES = 256
+
+
+def dictionary_encode_by_maps(df: DataFrame, code_map: DataFrame, features: Sequence[str], most: int = MAP_ENTRIES) -> DataFrame:
+    """`dictionary_encode` without a join for each column whose codes are few.
+
+    The code map is stored and its types are counted. A type of at most `most` values, each with one code, becomes a
+    map from a scalar subquery, so the rows are projected and not joined; the others are joined.
+    """
+    present = [f for f in features if f in df.columns]
+    stored = stage_table(code_map.where(F.col("code_type").isin(present)).select("code_type", "value_id", "key_id"), "codes")
+    known = F.col("value_id").isNotNull()
+    sizes = stored.groupBy("code_type").agg(F.count_if(known).alias("n"), F.count_distinct("value_id").alias("values")).collect()
+    small = [r["code_type"] for r in sizes if r["n"] == r["values"] <= most]
+    absent = set(present) - {r["code_type"] for r in sizes}
+
+    def code(feature: str) -> Column:
+        if feature in absent:
+            return F.lit(None).cast(stored.schema["key_id"].dataType)
+        entries = F.collect_list(F.struct(F.col("value_id").cast("string"), "key_id"))
+        lookup = stored.where((F.col("code_type") == feature) & known).agg(F.map_from_entries(entries)).scalar()
+        return F.try_element_at(lookup, F.col(feature).cast("string"))
+
+    mapped = [f for f in present if f in small or f in absent]
+    df = df.select(*[F.col(c) for c in df.columns if c not in mapped], *[code(f).alias(f"{f}_new") for f in mapped])
+    return dictionary_encode(df, stored, [f for f in present if f not in mapped])

@@ -51,21 +51,41 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 _stages: list[tuple[SparkSession, str]] = []
+_tables: list[tuple[SparkSession, str]] = []
+
+
+def temporary_path(spark: SparkSession, name: str = "stage") -> str:
+    """A new folder in the shared folder, deleted when the program ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _stages.append((spark, path))
+    return path
+
+
+def temporary_table(spark: SparkSession, name: str = "stage") -> str:
+    """The name of a new table of the catalog, dropped when the program ends."""
+    table = f"{name}_{uuid.uuid4().hex}"
+    _tables.append((spark, table))
+    return table
 
 
 def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
     """`df` written as Parquet to the shared folder and read back: lineage is cut, columns are pruned when read,
     and the planner knows the table's real size. Stages are deleted when the program ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = temporary_path(spark, name)
     df.write.parquet(path)
-    _stages.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 @atexit.register
 def delete_stages() -> None:
-    """Deletes the stages of sessions that still run."""
+    """Deletes the stages and tables of sessions that still run."""
+    while _tables:
+        spark, table = _tables.pop()
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        except Exception:  # the session has ended and its catalog with it
+            continue
     while _stages:
         spark, path = _stages.pop()
         try:

@@ -60,6 +60,25 @@ def _with_text_key(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType([*fields, T.StructField("item_code", T.StringType())])
 
 
+def parquet_items_of(spark: SparkSession, path: str, items: DataFrame) -> DataFrame:
+    """The rows of the items of another table, from a table partitioned by item.
+
+    No list of items reaches the driver: where Spark broadcasts the item table, it prunes the partitions at run time.
+    """
+    df = spark.read.schema(_with_text_key(spark, path)).parquet(path)
+    return df.join(items.select("item_code").distinct(), "item_code", "left_semi")
+
+
+def colocated_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings in which tables bucketed by some of a join's keys are joined in place."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith(("spark.sql.", "shelfwise.")) and spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return session
+
+
 def item_list(df: DataFrame, key: str = "item_code") -> DataFrame:
     return df.select(key).distinct()
 

@@ -7,6 +7,7 @@ from shelfwise import schemas
 from shelfwise.operators.split import Splits, with_split
 from shelfwise.plans import forecast as M
 from shelfwise.plans.export import result_table
+from shelfwise.plans.features import colocated_features
 from shelfwise.plans.forecast_round import forecast_round, low_sales_round
 from shelfwise.plans.pooled import pooled_items, pooled_table
 from shelfwise.plans.settings import SUBCLASS_FEATURES, ForecastSettings
@@ -83,6 +84,91 @@ def test_ingest_takes_files_once_and_repeats_safely(spark, tmp_path):
     assert sorted(rows(ingest.table(), *columns)) == expected
 
 
+def test_work_of_a_batch_follows_the_batch(spark, tmp_path):
+    """Ten batches of equal size into one month: what a batch stores stays bounded, a replay after a merge changes nothing."""
+    incoming, data = str(tmp_path / "incoming"), {}
+    ingest = DailySalesIngest(spark, incoming, schemas.SALES, str(tmp_path / "base"), fan_in=2)
+    stored, before = [], set()
+    for k in range(10):
+        batch = [(f"{k}-{i}", "5", i % 28, 1.0 + k) for i in range(50)] + [("all", "5", 3, 1.0)]
+        for i, _, n, q in batch:
+            data[i, n] = data.get((i, n), 0) + q
+        frame = sales(spark, *batch)
+        ingest._take_batch(frame, k)
+        if k in (3, 7):
+            ingest._take_batch(frame, k)  # its run is merged already
+        runs = ingest.runs()
+        new = [r for r in runs if r not in before]
+        stored.append(sum(ingest._read([r]).count() for r in new))
+        before = set(runs)
+        assert len({r.level for r in runs}) <= 5
+        assert {(r["item_code"], (r["day_dt"] - DAY).days): r["ttl_quantity"] for r in ingest.table().collect()} == data
+    # rows rewritten over all batches: a logarithm of them, not their square (51 * 55 = 2805)
+    assert sum(stored) <= 51 * 10 * 3 and stored[8] <= 2 * 51
+    ingest.compact()
+    assert len(ingest.runs()) == 1
+    assert {(r["item_code"], (r["day_dt"] - DAY).days): r["ttl_quantity"] for r in ingest.table().collect()} == data
+
+
+def test_periods_of_their_own_and_rows_without_a_day(spark, tmp_path):
+    ingest = DailySalesIngest(spark, str(tmp_path / "in"), schemas.SALES, str(tmp_path / "base"), fan_in=2)
+    none = spark.createDataFrame([("1", "5", None, 2.0, None, None)], schemas.SALES)
+    assert rows(ingest.table()) == []
+    for k in range(4):
+        ingest._take_batch(sales(spark, ("1", "5", 31 * (k % 2), 1.0)).unionByName(none), k)
+    assert rows(ingest.table()) == [("1", "5", None, 8.0), ("1", "5", DAY, 2.0), ("1", "5", DAY + timedelta(days=31), 2.0)]
+
+
+def test_covered_runs_are_not_read(spark, tmp_path):
+    """A failure between storing a merged run and deleting its parts."""
+    ingest = DailySalesIngest(spark, str(tmp_path / "in"), schemas.SALES, str(tmp_path / "base"), fan_in=2)
+    ingest._delete = lambda runs: None
+    for k in range(4):
+        ingest._take_batch(sales(spark, ("1", "5", 0, 1.0)), k)
+    assert len(ingest.runs()) > 1
+    assert rows(ingest.table()) == [("1", "5", DAY, 4.0)]
+
+
+def test_export_goes_on_where_it_broke_off(spark, tmp_path):
+    table = sales(spark, *[(f"i{k}", "5", n, float(n)) for k in range(40) for n in range(3)])
+    export = W.ResumableExport(spark, str(tmp_path / "export"), shards=5)
+    assert rows(export.exported(table.schema)) == []
+    assert export.run(table, stop_before_record=2) == 2
+    half = export.exported(table.schema)
+    # what was written without a record doesn't count
+    assert rows(half.select("item_code").distinct()) == rows(export.manifest(), "item_code") and 0 < half.count() < table.count()
+    assert export.run(table) == 3
+    assert rows(export.exported(table.schema)) == rows(table)
+    assert export.run(table) == 0
+    more = table.unionByName(sales(spark, ("late", "5", 0, 1.0)))
+    assert export.run(more) == 1 and rows(export.exported(table.schema)) == rows(more)
+    assert rows(export.manifest().groupBy("item_code").count().where("count > 1")) == []
+    assert dict(rows(export.manifest(), "item_code", "n_rows"))["i7"] == 3
+
+
+def test_partitions_are_pruned_by_another_table(spark, tmp_path):
+    path = str(tmp_path / "items")
+    W.write_by_item(sales(spark, *[(f"{k:03d}", "5", 0, 1.0) for k in range(30)]), path)
+    spark.createDataFrame([(f"{k:03d}", k % 10) for k in range(30)], "item_code string, kind int").write.parquet(str(tmp_path / "kinds"))
+    chosen = spark.read.parquet(str(tmp_path / "kinds")).where("kind = 3").select("item_code")
+    found = S.parquet_items_of(spark, path, chosen)
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found, "item_code") == ["003", "013", "023"]
+
+
+def test_tables_of_equal_buckets_join_in_place(spark):
+    table = sales(spark, *[(str(i), str(s), n, 1.0) for i in range(9) for s in range(3) for n in range(4)])
+    keys = ["item_code", "day_dt"]
+    W.write_colocated(table.select("item_code", "store_id", "day_dt"), "own_panel", keys, 6)
+    W.write_colocated(table.where("store_id = '1'").select("item_code", "store_id", "day_dt", "ttl_quantity"), "own_sales", keys, 6)
+    W.write_colocated(table.select(*keys).distinct().withColumn("offer_code", F.lit("x")), "own_days", keys, 6)
+    joined = colocated_features(S.colocated_session(spark), "own_panel", "own_sales", "own_days")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2
+    assert joined.count() == 108 and joined.where("ttl_quantity = 1").count() == 36
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
 SPLITS = Splits("2020-01-01", ("2020-03-01", "2020-03-10"), ("2020-03-11", "2020-03-20"), ("2020-04-01", "2020-04-10"))
 
 
@@ -134,13 +220,6 @@ def test_only_exported_forecasts_are_clamped(spark):
     assert got == {0: -2.123456, 1: 0.0}
 
 
-def test_shuffled_column_keeps_its_values(spark):
-    table = spark.range(1000).withColumn("v", F.col("id"))
-    moved = M.shuffle_column(table, "v", 4, 1)
-    assert rows(moved, "v") == rows(table, "v")
-    assert moved.where("v = id").count() < 20
-
-
 def test_linear_fits(spark):
     table = spark.createDataFrame([("a", 1.0, 5.0), ("a", 2.0, 7.0), ("a", None, 9.0), ("b", 1.0, 2.0)], "item_code string, unit_price double, ttl_quantity double")
     assert rows(M.linear_fits(table, "unit_price")) == [("a", 2.0, 3.0), ("b", None, None)]
