@@ -42,13 +42,16 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_
 FROM doc d LEFT JOIN hit h USING (doc_id) LEFT JOIN named m USING (doc_id)
 """
 
-#: Targets by a level that fills sources up to their caps; extra copies in the order of Pareto ranks.
+#: Targets by a level that fills sources up to their caps, copies by a level within the source; extra copies in the order of Pareto ranks.
 PARETO_MIX = r"""
-WITH doc AS MATERIALIZED (
-    SELECT doc_id, source, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k,
-        CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-        CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 12) AS BIGINT) AS bits
+WITH own AS MATERIALIZED (
+    SELECT doc_id, source, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k, md5(coalesce(text, '')) AS h,
+        CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
     FROM documents),
+doc AS MATERIALIZED (
+    SELECT *, CAST(length(bin(size)) AS DOUBLE) AS x,
+        CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || h || ':' || row_number() OVER (PARTITION BY doc_id, source, h)), 1, 12) AS BIGINT) AS bits
+    FROM own),
 src AS (SELECT k, CAST(sum(size) AS BIGINT) AS source_size FROM doc GROUP BY k),
 weighted AS (SELECT *, CAST((row_number() OVER (ORDER BY k) - 1) % 3 + 1 AS DOUBLE) AS w, CAST(source_size AS DOUBLE) * 3 AS cap FROM src),
 filled AS (
@@ -56,18 +59,23 @@ filled AS (
         / sum(w) OVER (ORDER BY cap / w, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighted),
 target AS MATERIALIZED (
     SELECT k, source_size, round(least(cap, (SELECT max(level) FROM filled WHERE level <= cap / w) * w), 6) AS target FROM filled),
-rated AS MATERIALIZED (
-    SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM target),
+cell AS (SELECT k, x, sum(size) AS own, CAST(sum(size) AS DOUBLE) * 3 AS most, x * CAST(sum(size) AS DOUBLE) AS mass FROM doc GROUP BY k, x HAVING sum(size) > 0),
+rising AS (
+    SELECT cell.*, target, (target - coalesce(sum(most) OVER (PARTITION BY k ORDER BY x DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+        / sum(mass) OVER (PARTITION BY k ORDER BY x DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM cell JOIN target USING (k)),
+expected AS (
+    SELECT *, least(3.0::DOUBLE, coalesce(max(CASE WHEN level <= 3.0::DOUBLE / x THEN level END) OVER (PARTITION BY k), 3.0::DOUBLE / min(x) OVER (PARTITION BY k)) * x) AS e FROM rising),
+parted AS MATERIALIZED (SELECT k, x, own, floor(e + 1e-9::DOUBLE) AS whole, greatest(e - floor(e + 1e-9::DOUBLE), 0.0) AS part FROM expected),
+need AS (SELECT k, any_value(target) - sum(whole * own) AS need FROM parted JOIN target USING (k) GROUP BY k),
 ranked AS MATERIALIZED (
-    SELECT d.*, t.source_size, t.target, floor(rate) AS whole, rate - floor(rate) AS part, target - floor(rate) * source_size AS need,
-        (bits + 0.5) / 281474976710656.0 AS u
-    FROM doc d JOIN rated t USING (k)),
+    SELECT d.*, t.source_size, t.target, coalesce(p.whole, 0) AS whole, coalesce(p.part, 0) AS part, need, (bits + 0.5) / 281474976710656.0::DOUBLE AS u
+    FROM doc d JOIN target t USING (k) LEFT JOIN parted p ON p.k = d.k AND p.x = d.x LEFT JOIN need n ON n.k = d.k),
 placed AS (
-    SELECT *, CASE WHEN part > 0 THEN floor((u / (1 - u) / (part / (1 - part) * 1.0)) / (1 + u / (1 - u) / (part / (1 - part) * 1.0)) * 281474976710656.0) END AS place FROM ranked),
+    SELECT *, CASE WHEN part > 0 THEN floor((u / (1 - u) / (part / (1 - part))) / (1 + u / (1 - u) / (part / (1 - part))) * 281474976710656.0::DOUBLE) END AS place FROM ranked),
 run AS (
-    SELECT *, sum(size) OVER (PARTITION BY k ORDER BY place RANGE UNBOUNDED PRECEDING) AS upto, sum(size) OVER (PARTITION BY k, place) AS own FROM placed)
+    SELECT *, sum(size) OVER (PARTITION BY k, part > 0 ORDER BY place RANGE UNBOUNDED PRECEDING) AS upto, sum(size) OVER (PARTITION BY k, part > 0, place) AS same FROM placed)
 SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken FROM (
-    SELECT *, CAST(whole AS BIGINT) + CASE WHEN part > 0 AND (upto < need OR (upto - own < need AND (need - (upto - own)) * 2 >= own)) THEN 1 ELSE 0 END AS copies FROM run)
+    SELECT *, CAST(whole AS BIGINT) + CASE WHEN part > 0 AND (upto < need OR (upto - same < need AND (need - (upto - same)) * 2 >= same)) THEN 1 ELSE 0 END AS copies FROM run)
 """
 
 

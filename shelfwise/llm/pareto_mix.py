@@ -1,11 +1,11 @@
 """Mixing sources to target weights by Pareto order sampling."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import row_id, stage, whole_text
+from shelfwise.llm.common import stage, whole_text
 
 #: Ranks have this many bits and are searched so many bits at a time.
 RANK_BITS, STEP_BITS = 48, 12
@@ -53,42 +53,81 @@ def _threshold(ranked: DataFrame, needs: DataFrame) -> DataFrame:
     return cut.select("source_key", F.col("prefix").alias("last_rank"), (F.col("need") * 2 >= F.col("own")).alias("take_last"))
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_copies: int = 3, seed: str = "mix", preference: str | None = None) -> DataFrame:
+def by_length(size: Column) -> Column:
+    """A preference for longer documents: the binary digits of the number of words."""
+    return F.length(F.bin(size)).cast("double")
+
+
+def _expected(cells: DataFrame, max_copies: int) -> DataFrame:
+    """source_key, preference, expected: copies wanted of each document of a source, in proportion to its preference.
+
+    `cells` has one row per source and preference (cell_size, target). The copies are min(max_copies, level *
+    preference) with the level that makes the source's words reach its target; the preferences that are cut off
+    first are the highest, so the level is found as that of `source_targets`, within the source.
+    """
+    most, mass = F.col("cell_size").cast("double") * max_copies, F.col("preference") * F.col("cell_size").cast("double")
+    own = Window.partitionBy("source_key")
+    by_level = own.orderBy(F.desc("preference"))
+    cells = cells.where("cell_size > 0").withColumns({"_most": most, "_mass": mass})
+    before = F.coalesce(F.sum("_most").over(by_level.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    rest = F.sum("_mass").over(by_level.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    cells = cells.withColumn("_level", (F.col("target") - before) / rest)
+    fits = F.when(F.col("_level") <= float(max_copies) / F.col("preference"), F.col("_level"))
+    level = F.coalesce(F.max(fits).over(own), float(max_copies) / F.min("preference").over(own))
+    return cells.select("source_key", "preference", "cell_size", F.least(F.lit(float(max_copies)), level * F.col("preference")).alias("expected"))
+
+
+def mix_sources(
+    docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_copies: int = 3, seed: str = "mix", preference: Callable[[Column], Column] | str | None = None
+) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken (copies times size) of every row of `docs`.
 
-    A source whose target is r times its size gives every document floor(r) whole copies; one more copy goes to
-    the documents of lowest Pareto rank, odds(u) / odds(p), with u a fixed random number of the document and p
-    its inclusion probability (the fraction of r; its odds times the column `preference` if that is given),
-    until the source's target is reached as closely as whole documents allow. Reruns agree, as u is made from
-    seed and doc_id (the text, without an id).
+    A document's expected copies are in proportion to its preference (a column of `docs`, or made from the number of
+    words; equal without one), so that a source's words reach its target, and at most `max_copies`. It gets the
+    whole part of them for certain. The fractions are inclusion probabilities of a sample of fixed size: one more
+    copy goes to the documents of lowest Pareto rank, odds(u) / odds(p), with u a fixed random number of the
+    document, until the source's target is reached as closely as whole documents allow.
 
-    A null text has size 0 and a null source is a source of its own. Rows alike in id and text have equal ranks
-    and are taken together. No rows give no rows. The document rows are stored once, narrow; all further steps
-    sum them by source and bin of ranks before they shuffle.
+    Reruns agree: u is made from seed, doc_id, text and a number within rows that are alike in these, which are
+    numbered as they are counted, never gathered. A null text has size 0 and a null source is a source of its own;
+    a preference that is null or not positive counts as 1e-9. No rows give no rows. The document rows are stored
+    once, narrow; all further steps sum them by source and preference, or bin of ranks, before they shuffle.
     """
     source = F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1"))
-    u_of = F.coalesce(F.col("doc_id").cast("string"), F.md5(whole_text()))
-    bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), u_of)), 1, RANK_BITS // 4), 16, 10).cast("long")
-    odds = F.lit(1.0) if preference is None else F.greatest(F.col(preference).cast("double"), F.lit(1e-9))
+    own = docs.select(
+        "doc_id", "source", F.md5(whole_text()).alias("text_md5"), words(whole_text()).alias("size"),
+        *([F.col(preference).cast("double").alias("wanted")] if isinstance(preference, str) else []),
+    )
+    if not isinstance(preference, str):
+        own = own.withColumn("wanted", F.lit(1.0) if preference is None else preference(F.col("size")))
+    alike = own.groupBy("doc_id", "source", "text_md5", "size", "wanted").agg(F.count("*").alias("n"))
+    placed = alike.withColumn("place", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    named = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_md5", F.col("place").cast("string"))
+    bits = F.conv(F.substring(F.md5(named), 1, RANK_BITS // 4), 16, 10).cast("long")
     rows = stage(
-        docs.select("doc_id", "source", source.alias("source_key"), words(whole_text()).alias("size"), bits.alias("bits"), odds.alias("odds")),
+        placed.select("doc_id", "source", source.alias("source_key"), "size", bits.alias("bits"), F.greatest(F.coalesce("wanted", F.lit(0.0)), F.lit(1e-9)).alias("preference")),
         "mix",
     )
-    sizes = rows.groupBy("source_key").agg(F.sum("size").alias("source_size"))
-    targets = stage(source_targets(sizes, weights, max_copies), "targets").withColumn(
-        "rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    )
-    targets = targets.withColumn("whole", F.floor("rate")).withColumn("part", F.col("rate") - F.col("whole"))
+    cells = rows.groupBy("source_key", "preference").agg(F.sum("size").alias("cell_size"))
+    cells = stage(cells, "cells")
+    sizes = cells.groupBy("source_key").agg(F.sum("cell_size").alias("source_size"))
+    targets = stage(source_targets(sizes, weights, max_copies), "targets")
+    expected = _expected(cells.join(targets, "source_key"), max_copies)
+    whole = F.floor(F.col("expected") + 1e-9)
+    copies = expected.select("source_key", "preference", "cell_size", whole.alias("whole"), F.greatest(F.col("expected") - whole, F.lit(0.0)).alias("part"))
+    copies = stage(copies, "copies")
     u = (F.col("bits") + 0.5) / float(1 << RANK_BITS)
     part = F.when(F.col("part") > 0, F.col("part"))  # without a fraction there is no rank
-    order = u / (1 - u) / (part / (1 - part) * F.col("odds"))
+    order = u / (1 - u) / (part / (1 - part))
     rank = F.floor(order / (1 + order) * float(1 << RANK_BITS)).cast("long")
-    ranked = rows.join(targets.where("part > 0").select("source_key", "part"), "source_key").select("source_key", "size", rank.alias("rank"))
-    needs = targets.where("part > 0").select("source_key", (F.col("target") - F.col("whole") * F.col("source_size")).alias("need"))
+    given = rows.join(copies.drop("cell_size"), ["source_key", "preference"], "left")
+    ranked = given.where("part > 0").select("source_key", "size", rank.alias("rank"))
+    certain = copies.groupBy("source_key").agg(F.sum(F.col("whole") * F.col("cell_size")).alias("certain"), F.max("part").alias("most"))
+    needs = targets.join(certain.where("most > 0"), "source_key").select("source_key", (F.col("target") - F.col("certain")).alias("need"))
     limits = stage(_threshold(ranked, needs), "limits")
     extra = (F.col("part") > 0) & ((rank < F.col("last_rank")) | ((rank == F.col("last_rank")) & F.col("take_last")))
     return (
-        rows.join(targets, "source_key").join(limits, "source_key", "left")
-        .withColumn("copies", F.col("whole") + F.coalesce(extra, F.lit(False)).cast("long"))
+        given.join(targets, "source_key").join(limits, "source_key", "left")
+        .withColumn("copies", F.coalesce("whole", F.lit(0)) + F.coalesce(extra, F.lit(False)).cast("long"))
         .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shelfwise.llm.pareto_mix import mix_sources
+from shelfwise.llm.pareto_mix import by_length, mix_sources
 from shelfwise.llm.pii import KINDS, find_pii, mod97, pii_digest, running_start
 
 
@@ -54,6 +54,31 @@ def test_preference_raises_inclusion(spark, make):
     assert even > 1.5 * odd > 0 and len({r.target for r in got}) == 1
 
 
+def test_rows_alike_meet_the_target(spark, make):
+    rows = [(7, "a b c d e f g h i j", "s")] * 50 + [(None, "x y z", "s")] * 50 + [(8, f"w{i} " * 11, "t") for i in range(50)]
+    got = mix_sources(make(rows)).collect()
+    taken = {s: sum(r.taken for r in got if r.source == s) for s in ("s", "t")}
+    assert all(abs(taken[r.source] - r.target) <= 11 for r in got) and len(got) == 150
+    again = mix_sources(make(rows).repartition(3)).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, got), key=str)
+
+
+def test_copies_follow_the_preference(spark, make):
+    """Certain copies are the whole parts of the expected ones; the others come as often as their fractions say."""
+    rows = [(i, "w " * (1 + i % 60), "s" if i < 6000 else "t") for i in range(9000)]
+    got = mix_sources(make(rows), preference=by_length).collect()
+    by = {}
+    for r in got:
+        by.setdefault((r.source, len(bin(r.size)) - 2), []).append(r.copies)
+    for source in ("s", "t"):
+        mean = {x: sum(c) / len(c) for (s, x), c in by.items() if s == source}
+        own = [r for r in got if r.source == source]
+        level = own[0].target / sum(r.size * (len(bin(r.size)) - 2) for r in own)
+        assert all(abs(mean[x] - level * x) < 0.2 for x in mean if level * x < 3), mean
+        assert all(max(c) - min(c) <= 1 for (s, _), c in by.items() if s == source)
+        assert abs(sum(r.taken for r in got if r.source == source) - next(r.target for r in got if r.source == source)) <= 60
+
+
 def test_odd_rows_mix(spark, make, odd_rows):
     assert mix_sources(make([])).collect() == []
     got = mix_sources(make(odd_rows)).collect()
