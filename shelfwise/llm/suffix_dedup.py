@@ -1,13 +1,12 @@
 """Removal of byte strings that occur earlier, by sorted suffixes compared through prefix hashes.
 
 Every window of LENGTH bytes holds one anchor, its k-mer of least hash, and windows in a row with one anchor make a
-segment. Equal segments are found by their hashes. Segments that share an anchor but differ, as at the ends of a
-repeated passage, are sorted by what follows the anchor: a mergesort whose comparisons find the common extension of
-two suffixes by binary search over prefix polynomial hashes, with the found windows verified byte by byte.
+segment. Equal segments are found by anchor and a digest of 128 bits. Segments that share an anchor but differ, as at the
+ends of a repeated passage, are sorted by what follows the anchor: a mergesort whose comparisons find the common
+extension of two suffixes by binary search over prefix polynomial hashes, with the found windows verified byte by byte.
 """
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,12 +22,18 @@ from shelfwise.llm.shingles import BASE, INVERSE, mixed, powers
 K = 24
 #: Bytes of text whose hashes are in memory at a time.
 PIECE = 4 << 20
-#: Segments of one anchor that a task sorts together; more are dealt out and their windows compared by hash.
+#: Segments of one anchor that a task sorts together; more are dealt out and their windows compared by anchor and digest.
 SPLIT = 50_000
 #: Suffixes that are sorted at a time, whole anchors each.
 SORT_ROWS = 20_000
-#: Fields of `at`: tie (18 bits), byte position (31), anchor's offset (7), windows less one (7).
-TIE, POS, OFF = 45, 14, 7
+#: Fields of `at`: byte position (31 bits), anchor's offset (7), windows less one (7).
+POS, OFF = 14, 7
+
+
+def digests(pieces: Iterator[bytes | memoryview]) -> np.ndarray:
+    """128-bit digests as rows of two signed numbers."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, pieces)), ">i8").astype(np.int64).reshape(-1, 2)
+
 
 class PrefixHashes:
     """Polynomial hashes of any part of a buffer in constant time, modulo 2 ** 64."""
@@ -58,21 +63,20 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def _pieces(rids: list[int], texts: list[bytes], length: int) -> Iterator[tuple[list[tuple[int, int, int, int]], bytes]]:
-    """Buffers of about PIECE bytes with their texts (rid, tie, position of the part in its text, size).
+def _pieces(rids: list[int], rows: list[int], texts: list[bytes], length: int) -> Iterator[tuple[list[tuple[int, int, int, int]], bytes]]:
+    """Buffers of about PIECE bytes with their texts (rid, row, position of the part in its text, size).
 
     A longer text comes in parts that overlap by length - 1, so each window is in one of them.
     """
     parts: list[tuple[int, int, int, int]] = []
     held: list[bytes] = []
     size = 0
-    for rid, text in zip(rids, texts, strict=True):
-        tie = zlib.crc32(text) & 0x3FFFF
+    for rid, row, text in zip(rids, rows, texts, strict=True):
         for start in range(0, max(1, len(text) - length + 1), PIECE):
             part = text[start : start + PIECE + length - 1]
             if len(part) < length:
                 continue
-            parts.append((rid, tie, start, len(part)))
+            parts.append((rid, row, start, len(part)))
             held.append(part)
             size += len(part)
             if size >= PIECE:
@@ -83,7 +87,7 @@ def _pieces(rids: list[int], texts: list[bytes], length: int) -> Iterator[tuple[
 
 
 def _segments(parts: list[tuple[int, int, int, int]], data: bytes, length: int) -> tuple[np.ndarray, ...]:
-    """anchor, segment hash, rid, at of all segments of a buffer."""
+    """anchor, segment digest, rid, row, at of all segments of a buffer."""
     buffer = np.frombuffer(data, np.uint8)
     hashes = mixed(PrefixHashes(buffer).all_of(K))
     low = np.uint64((1 << 24) - 1)
@@ -97,14 +101,14 @@ def _segments(parts: list[tuple[int, int, int, int]], data: bytes, length: int)
     first = np.flatnonzero(np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (own[1:] != own[:-1])]))
     last = np.concatenate([first[1:], [len(own)]]) - 1
     begin, end, anchors, own = windows[first], windows[last], anchors[first], own[first]
-    view, digest = memoryview(data), xxhash.xxh3_64_intdigest
-    segment = np.fromiter((digest(view[a:b]) for a, b in zip(begin.tolist(), (end + length).tolist(), strict=True)), np.uint64, len(begin))
-    ties = np.array([p[1] for p in parts], np.int64)[own]
-    at = (ties << TIE) | ((begin - starts[own] + np.array([p[2] for p in parts])[own]) << POS) | ((anchors - begin) << OFF) | (end - begin)
-    return hashes[anchors], segment, np.array([p[0] for p in parts], np.int64)[own], at
+    view = memoryview(data)
+    segment = digests(view[a:b] for a, b in zip(begin.tolist(), (end + length).tolist(), strict=True))
+    at = ((begin - starts[own] + np.array([p[2] for p in parts])[own]) << POS) | ((anchors - begin) << OFF) | (end - begin)
+    rids, rows = (np.array([p[i] for p in parts], np.int64)[own] for i in (0, 1))
+    return hashes[anchors], segment, rids, rows, at
 
 
-_SEGMENTS = "key long, segment long, rid long, at long, removed boolean"
+_SEGMENTS = "key long, segment long, segment2 long, rid long, row long, at long, removed boolean"
 
 
 def _find_segments(length: int):
@@ -112,47 +116,44 @@ def _find_segments(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_segments(parts, data, length) for parts, data in _pieces(batch.column("rid").to_pylist(), batch.column("text").to_pylist(), length)]
+            texts = (batch.column(c).to_pylist() for c in ("rid", "row", "text"))
+            found = [_segments(parts, data, length) for parts, data in _pieces(*texts, length)]
             if not found:
                 continue
-            anchor, segment, rid, at = (np.concatenate(c) for c in zip(*found, strict=True))
-            order = np.lexsort((at, rid, segment, anchor))
-            anchor, segment, rid, at = anchor[order], segment[order], rid[order], at[order]
-            # equal rid and at: the same place of a repeated row, which repeats nothing
-            own = np.concatenate([[True], (rid[1:] != rid[:-1]) | (at[1:] != at[:-1]) | (segment[1:] != segment[:-1]) | (anchor[1:] != anchor[:-1])])
-            anchor, segment, rid, at = anchor[own], segment[own], rid[own], at[own]
-            first = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (segment[1:] != segment[:-1])])
-            gone_rid, gone_at, gone_end = _runs(rid[~first], at[~first] >> POS << POS, (at[~first] >> POS & 0x7FFFFFFF) + (at[~first] & 0x7F) + length)
+            anchor, segment, rid, row, at = (np.concatenate(c) for c in zip(*found, strict=True))
+            one, two = segment[:, 0], segment[:, 1]
+            order = np.lexsort((at, row, rid, two, one, anchor))
+            anchor, one, two, rid, row, at = (c[order] for c in (anchor, one, two, rid, row, at))
+            new = lambda *columns: np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])])
+            own = new(anchor, one, two, rid, row, at)  # else the same place of a repeated row, which repeats nothing
+            anchor, one, two, rid, row, at = (c[own] for c in (anchor, one, two, rid, row, at))
+            first = new(anchor, one, two)
+            begin = at[~first] >> POS
+            gone_rid, gone_row, gone_at, gone_end = _runs(rid[~first], row[~first], begin, begin + (at[~first] & 0x7F) + length)
             n, m = int(first.sum()), len(gone_rid)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    # removed runs are dealt by document; they end at `segment`
-                    pa.array(np.concatenate([anchor[first].view(np.int64), mixed(gone_rid.astype(np.uint64)).view(np.int64)])),
-                    pa.array(np.concatenate([segment[first].view(np.int64), gone_end])),
-                    pa.array(np.concatenate([rid[first], gone_rid])),
-                    pa.array(np.concatenate([at[first], gone_at])),
-                    pa.array(np.concatenate([np.zeros(n, bool), np.ones(m, bool)])),
-                ],
-                names=["key", "segment", "rid", "at", "removed"],
-            )
+            columns = [
+                # removed runs are dealt by document; they end at `segment`
+                (anchor[first].view(np.int64), mixed(gone_rid.astype(np.uint64)).view(np.int64)), (one[first], gone_end), (two[first], np.zeros(m, np.int64)),
+                (rid[first], gone_rid), (row[first], gone_row), (at[first], gone_at << POS), (np.zeros(n, bool), np.ones(m, bool)),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=[c.split()[0] for c in _SEGMENTS.split(", ")])
 
     return run
 
 
-def _runs(rid: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of bytes joined where they touch: rid, at (tie and start), end."""
-    order = np.lexsort((at, rid))
-    rid, at, end = rid[order], at[order], end[order]
+def _runs(rid: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of bytes joined where they touch: rid, row, start, end."""
+    order = np.lexsort((start, row, rid))
+    rid, row, start, end = rid[order], row[order], start[order], end[order]
     if not len(rid):
-        return rid, at, end
-    doc = np.concatenate([[True], (rid[1:] != rid[:-1]) | (at[1:] >> TIE != at[:-1] >> TIE)])
+        return rid, row, start, end
+    doc = np.concatenate([[True], (rid[1:] != rid[:-1]) | (row[1:] != row[:-1])])
     group = np.cumsum(doc) - 1
     wide = np.int64(1) << np.int64(32)
     reach = np.maximum.accumulate(end + group * wide) - group * wide  # of the same document so far
-    start = at >> POS & 0x7FFFFFFF
     new = doc | np.concatenate([[True], start[1:] > reach[:-1]])
     last = np.concatenate([np.flatnonzero(new)[1:], [len(rid)]]) - 1
-    return rid[new], at[new], reach[last]
+    return rid[new], row[new], start[new], reach[last]
 
 
 class SortedSuffixes:
@@ -251,53 +252,44 @@ def repeated_windows(contexts: list[bytes], offsets: np.ndarray, counts: np.ndar
     return repeated, firsts
 
 
-_FOUND = "rid long, at long, `end` long, hash long"
+_FOUND = "rid long, row long, start long, `end` long, key long, hash long, hash2 long"
 
 
 def _contexts(length: int):
-    """The bytes of each edge. Of repeated rows that follow each other, as a join by rid leaves them, only the first gives them."""
+    """The bytes of each edge. Of repeated rows that follow each other, as a join by rid and row leaves them, only the first gives them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, ties = None, set()
+        current = None
         for batch in batches:
-            keys, salts, rids, ats, contexts = [], [], [], [], []
-            for rid, text, edges in zip(batch.column("rid").to_pylist(), batch.column("text").to_pylist(), batch.column("edges").to_pylist(), strict=True):
-                tie = zlib.crc32(text) & 0x3FFFF
-                if rid != current:
-                    current, ties = rid, set()
-                if tie in ties:
+            out = []
+            for rid, row, text, edges in zip(*(batch.column(c).to_pylist() for c in ("rid", "row", "text", "edges")), strict=True):
+                if (rid, row) == current:
                     continue
-                ties.add(tie)
+                current = (rid, row)
                 for edge in edges:
                     at = edge["at"]
-                    if at >> TIE == tie:
-                        pos = at >> POS & 0x7FFFFFFF
-                        keys.append(edge["key"])
-                        salts.append(edge["salt"])
-                        rids.append(rid)
-                        ats.append(at)
-                        contexts.append(text[pos : pos + (at & 0x7F) + length])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(salts, pa.int32()), pa.array(rids, pa.int64()), pa.array(ats, pa.int64()), pa.array(contexts, pa.binary())],
-                names=["key", "salt", "rid", "at", "context"],
-            )
+                    pos = at >> POS
+                    out.append((edge["key"], edge["salt"], rid, row, at, text[pos : pos + (at & 0x7F) + length]))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 6
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "salt", "rid", "row", "at", "context"])
 
     return run
 
 
 def _sort_groups(length: int):
-    """Removed runs of the contexts of a partition; rows come sorted by key, salt, rid, at. For dealt anchors also
-    the windows not seen before, by hash."""
+    """Removed runs of the contexts of a partition; rows come sorted by key, salt, rid, row, at. For dealt anchors
+    also the windows not seen before, by anchor and digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "salt", "rid", "at", "context")), strict=True):
-                if len(held) >= SORT_ROWS and row[:2] != held[-1][:2]:
+            for own in zip(*(batch.column(c).to_pylist() for c in ("key", "salt", "rid", "row", "at", "context")), strict=True):
+                if len(held) >= SORT_ROWS and own[:2] != held[-1][:2]:
                     yield from _sort_held(held, length)
                     held = []
-                if not held or row[:4] != held[-1][:4]:  # else the same place of a repeated row
-                    held.append(row)
+                if not held or own[:5] != held[-1][:5]:  # else the same place of a repeated row
+                    held.append(own)
         if held:
             yield from _sort_held(held, length)
 
@@ -305,80 +297,76 @@ def _sort_groups(length: int):
 
 
 def _sort_held(held: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
-    at, rid = np.array([r[3] for r in held], np.int64), np.array([r[2] for r in held], np.int64)
-    salt = np.array([r[1] for r in held])
+    key, salt, rid, row, at = (np.array([r[i] for r in held], np.int64) for i in range(5))
     groups = np.cumsum([True, *(a[:2] != b[:2] for a, b in zip(held, held[1:], strict=False))])
-    contexts = [r[4] for r in held]
-    offsets, counts, pos = at >> OFF & 0x7F, (at & 0x7F) + 1, at >> POS & 0x7FFFFFFF
+    contexts = [r[5] for r in held]
+    offsets, counts, pos = at >> OFF & 0x7F, (at & 0x7F) + 1, at >> POS
     repeated, firsts = repeated_windows(contexts, offsets, counts, groups, length)
     i, w = np.nonzero(repeated)
-    start = pos[i] + w
-    rids, ats, ends = _runs(rid[i], (at[i] >> TIE << TIE) | (start << POS), start + length)
-    yield _found(rids, ats, ends, np.zeros(len(rids), np.int64), False)
+    yield _found(*_runs(rid[i], row[i], pos[i] + w, pos[i] + w + length))
     i, w = np.nonzero(firsts & (salt >= 0)[:, None])
     if len(i):
         sizes = np.array([len(c) for c in contexts])
         begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])[i] + w
         data = b"".join(contexts)
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(data[b : b + length]) for b in begin.tolist()), np.uint64, len(i)).view(np.int64)
-        start = pos[i] + w
-        yield _found(rid[i], (at[i] >> TIE << TIE) | (start << POS), start + length, hashes, True)
+        yield _found(rid[i], row[i], pos[i] + w, pos[i] + w + length, key[i], digests(data[b : b + length] for b in begin.tolist()))
 
 
-def _found(rid: np.ndarray, at: np.ndarray, end: np.ndarray, hashes: np.ndarray, dealt: bool) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(rid), pa.array(at), pa.array(end), pa.array(hashes) if dealt else pa.nulls(len(rid), pa.int64())], names=["rid", "at", "end", "hash"]
-    )
+def _found(rid: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray, key: np.ndarray | None = None, digest: np.ndarray | None = None) -> pa.RecordBatch:
+    none = pa.nulls(len(rid), pa.int64())
+    dealt = [none] * 3 if key is None else [pa.array(c) for c in (key, digest[:, 0], digest[:, 1])]
+    return pa.RecordBatch.from_arrays([*map(pa.array, (rid, row, start, end)), *dealt], names=["rid", "row", "start", "end", "key", "hash", "hash2"])
 
 
 def repeated_spans(texts: DataFrame, length: int = 100) -> DataFrame:
-    """rid, at (its bits: tie, start), end: runs of bytes that repeat earlier ones, of `texts` (rid, text as binary).
+    """rid, row, start, end: runs of bytes that repeat earlier ones, of `texts` (rid, row, text as binary).
 
-    Documents go by rid, then by a checksum of the text, so that rows of equal id and text count as one: equal
-    segments of the same rid and at are taken once, and so are equal contexts.
+    Documents go by rid, then by row, a 64-bit hash of the text, so that rows of equal id and text count as one: equal
+    segments of the same rid, row and at are taken once, and so are equal contexts.
     """
     spark = texts.sparkSession
     ship(spark)
     rows = texts.mapInArrow(_find_segments(length), _SEGMENTS)
     by_key = Window.partitionBy("key")
-    in_order = by_key.orderBy("removed", "segment", "rid", "at")
+    order = ["removed", "segment", "segment2", "rid", "row", "at"]
+    digest = F.struct("segment", "segment2")
     rows = rows.select(
-        "*", F.lag(F.struct("removed", "segment", "rid", "at")).over(in_order).alias("before"),
-        *(f(F.when(~F.col("removed"), F.col("segment"))).over(by_key).alias(n) for f, n in ((F.min, "least"), (F.max, "most"))),
+        "*", F.lag(F.struct(*order)).over(by_key.orderBy(*order)).alias("before"),
+        *(f(F.when(~F.col("removed"), digest)).over(by_key).alias(n) for f, n in ((F.min, "least"), (F.max, "most"))),
     )
-    rows = rows.where(F.col("removed") | F.col("before").isNull() | (F.struct("removed", "segment", "rid", "at") != F.col("before")))
-    again = ~F.col("removed") & (F.col("segment") == F.col("before.segment"))
-    ends = F.when(F.col("removed"), F.col("segment")).when(again, F.shiftright("at", POS).bitwiseAND(F.lit(0x7FFFFFFF)) + F.col("at").bitwiseAND(F.lit(0x7F)) + length)
+    rows = rows.where(F.col("removed") | F.col("before").isNull() | (F.struct(*order) != F.col("before")))
+    again = ~F.col("removed") & (F.col("segment") == F.col("before.segment")) & (F.col("segment2") == F.col("before.segment2"))
+    ends = F.when(F.col("removed"), F.col("segment")).when(again, F.shiftright("at", POS) + F.col("at").bitwiseAND(F.lit(0x7F)) + length)
     marked = stage(
-        rows.select("key", "rid", "at", ends.alias("end"), (F.col("least") != F.col("most")).alias("edge")).where("end is not null or edge"), "segments"
+        rows.select("key", "rid", "row", "at", ends.alias("end"), (F.col("least") != F.col("most")).alias("edge")).where("end is not null or edge"), "segments"
     )
     edges = marked.where("end is null")
     hot = edges.groupBy("key").count().where(F.col("count") > SPLIT).select("key", F.ceil(F.col("count") / SPLIT).alias("parts"))
-    salt = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("rid", "at"), "parts")).otherwise(-1).cast("int")
-    dealt = edges.join(hot, "key", "left").select("rid", F.struct("key", salt.alias("salt"), "at").alias("edge"))
-    own = dealt.groupBy("rid").agg(F.collect_list("edge").alias("edges"))
-    contexts = texts.join(own, "rid").select("rid", "text", "edges").mapInArrow(_contexts(length), "key long, salt int, rid long, at long, context binary")
+    salt = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("rid", "row", "at"), "parts")).otherwise(-1).cast("int")
+    dealt = edges.join(hot, "key", "left").select("rid", "row", F.struct("key", salt.alias("salt"), "at").alias("edge"))
+    # no longer than the document that they lie in
+    own = dealt.groupBy("rid", "row").agg(F.collect_list("edge").alias("edges"))
+    contexts = texts.join(own, ["rid", "row"]).select("rid", "row", "text", "edges")
+    contexts = contexts.mapInArrow(_contexts(length), "key long, salt int, rid long, row long, at long, context binary")
     n = shuffle_partitions(spark)
     found = stage(
-        contexts.repartition(n, "key", "salt").sortWithinPartitions("key", "salt", "rid", "at").mapInArrow(_sort_groups(length), _FOUND), "suffixes"
+        contexts.repartition(n, "key", "salt").sortWithinPartitions("key", "salt", "rid", "row", "at").mapInArrow(_sort_groups(length), _FOUND), "suffixes"
     )
+    same = ["key", "hash", "hash2"]
     windows = found.where("hash is not null")
-    earliest = windows.groupBy("hash").agg(F.min(F.struct("rid", "at")).alias("first"))
-    later = windows.join(earliest, "hash").where(F.struct("rid", "at") > F.col("first"))
-    plain = [marked.where("end is not null"), found.where("hash is null"), later]
-    spans = plain[0].select("rid", "at", "end")
-    for more in plain[1:]:
-        spans = spans.unionByName(more.select("rid", "at", "end"))
-    return spans
+    earliest = windows.groupBy(*same).agg(F.min(F.struct("rid", "row", "start")).alias("first"))
+    later = windows.join(earliest, same).where(F.struct("rid", "row", "start") > F.col("first"))
+    columns = ["rid", "row", "start", "end"]
+    plain = marked.where("end is not null").withColumn("start", F.shiftright("at", POS))
+    return plain.select(*columns).unionByName(found.where("hash is null").select(*columns)).unionByName(later.select(*columns))
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[tuple] = []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-            tie = zlib.crc32(text) & 0x3FFFF
             runs: list[list[int]] = []
-            for s in sorted((s["at"] >> POS & 0x7FFFFFFF, s["end"]) for s in spans or () if s["at"] >> TIE == tie):
+            for s in sorted((s["start"], s["end"]) for s in spans or ()):
                 if runs and s[0] <= runs[-1][1]:
                     runs[-1][1] = max(runs[-1][1], s[1])
                 else:
@@ -401,10 +389,11 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
 
     A byte goes if a `length`-byte string over it also starts earlier, in a document of smaller id or earlier in
     the same one. A null text counts as empty; rows without an id come before all others; rows of equal id are
-    ordered by a checksum of their text, and those of equal text too are one document with one result.
+    ordered by a hash of their text, and those of equal text too are one document with one result.
     """
-    texts = docs.select("doc_id", row_id().alias("rid"), whole_text().cast("binary").alias("text"))
-    spans = repeated_spans(texts.select("rid", "text"), length)
-    own = spans.groupBy("rid").agg(F.collect_list(F.struct("at", "end")).alias("spans"))
+    text = whole_text()
+    texts = docs.select("doc_id", row_id().alias("rid"), F.xxhash64(text).alias("row"), text.cast("binary").alias("text"))
+    spans = repeated_spans(texts.select("rid", "row", "text"), length)
+    own = spans.groupBy("rid", "row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,`end`:long>>"
-    return texts.join(own, "rid", "left").select("doc_id", "text", "spans").mapInArrow(_kept, schema)
+    return texts.join(own, ["rid", "row"], "left").select("doc_id", "text", "spans").mapInArrow(_kept, schema)

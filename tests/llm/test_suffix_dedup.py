@@ -75,6 +75,16 @@ def test_repeated_rows_with_dealt_anchors(spark, make, monkeypatch):
     assert sorted((tuple(r) for r in S.remove_repeats(make(rows).repartition(8)).drop("removed").collect()), key=str) == want
 
 
+def test_texts_of_one_id_are_told_apart(spark, make):
+    """Many different texts of one id: nothing that is in one of them only goes."""
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    passage = text(200)
+    rows = [(1, passage), (5, passage + text(50))] + [(5, text(265)) for _ in range(300)]
+    got = S.remove_repeats(make(rows)).collect()
+    assert sorted(r.n_removed for r in got)[-2:] == [0, 200] and sum(r.n_bytes for r in got) == sum(len(t) for _, t in rows)
+
+
 def test_sorted_suffixes():
     rng = random.Random(4)
     contexts = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 30))).encode() for _ in range(200)]
