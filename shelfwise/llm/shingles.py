@@ -27,21 +27,45 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_LOWER = np.arange(256, dtype=np.uint64)
-_LOWER[65:91] += 32
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Words of more bytes are hashed one by one.
+_LONG = 256
+#: What is left of eight bytes when a word ends within them.
+_KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def word_hashes(data: bytes, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words from `first` to `last` (excluded) of `data`.
+
+    Words are taken in eights of bytes, each mixed into what came before, so no arithmetic relation of bytes carries
+    over to the hashes; those of more than _LONG bytes by xxh3 of their bytes.
+    """
+    sizes = last - first
+    eights = np.lib.stride_tricks.as_strided(np.frombuffer(data + bytes(8), np.uint8), (len(data) + 1, 8), (1, 1))
+    h = mixed(sizes.astype(np.uint64) * _STEP)
+    words = np.flatnonzero(sizes <= _LONG)
+    at = 0
+    while len(words):
+        left = np.minimum(sizes[words] - at, 8)
+        h[words] = mixed(h[words] * _STEP ^ (eights[first[words] + at].view("<u8")[:, 0] & _KEPT[left]))
+        at += 8
+        words = words[sizes[words] > at]
+    for i in np.flatnonzero(sizes > _LONG).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[first[i] : last[i]])
+    return h
 
 
 class Shingler:
     """The set of `width`-word shingles of a text as sorted distinct 64-bit hashes.
 
     Words are runs without ASCII white space, A-Z lower-cased. A text of fewer words is one shingle as a whole, one
-    without words has none. Words are hashed together, from prefix sums of a buffer of many texts.
+    without words has none. Words are hashed together, in a buffer of many texts.
     """
 
     def __init__(self, width: int):
-        self.width, self.up, self.down = width, powers(BASE, PIECE + 1), powers(INVERSE, PIECE + 1)
+        self.width = width
 
     def _words(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Start and hash of each word; long data is cut at white space."""
@@ -56,16 +80,11 @@ class Shingler:
                 else:  # a word longer than a piece
                     rest = np.flatnonzero(_SPACE[np.frombuffer(data, np.uint8, len(data) - at - PIECE, at + PIECE)])
                     end = at + PIECE + int(rest[0]) + 1 if len(rest) else end
-            codes = np.frombuffer(data, np.uint8, end - at, at)
-            n = len(codes)
-            if n >= len(self.up):
-                self.up, self.down = powers(BASE, n + 1), powers(INVERSE, n + 1)
-            space = _SPACE[codes]
+            own = data[at:end].translate(_LOWER)
+            space = _SPACE[np.frombuffer(own, np.uint8)]
             edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).view(np.int8)))
             first, last = edge[::2], edge[1::2]
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum((_LOWER[codes] + np.uint64(1)) * self.up[:n], out=sums[1:])
-            hashes.append(mixed((sums[last] - sums[first]) * self.down[first] + (last - first).astype(np.uint64)))
+            hashes.append(word_hashes(own, first, last))
             starts.append(first + at)
             at = end
         return (np.concatenate(starts), np.concatenate(hashes)) if starts else (np.zeros(0, np.int64), np.zeros(0, np.uint64))

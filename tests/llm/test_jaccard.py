@@ -62,6 +62,17 @@ def test_clusters_of_several_blocks(spark, make, monkeypatch):
     assert got(make(rows), 3, "0.9") == brute(rows, 3, "0.9")
 
 
+def test_words_that_defeat_polynomials(spark, make):
+    """Thue-Morse words agree in every polynomial hash modulo 2 ** 64; long words and common beginnings are told apart too."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    words = [word, other, word[:256], other[:256], "x" * 255, "x" * 256, "x" * 257, "12345678", "123456789", "12345678\u00e9"]
+    rows = [(i, f"one two {w}") for i, w in enumerate(words)] + [(100 + i, f"ONE two {w}") for i, w in enumerate(words)]
+    assert got(make(rows), 3, "0.9") == brute(rows, 3, "0.9")
+
+
 def test_odd_rows(spark, make, odd_rows):
     rows = [*odd_rows, (30, "A  b"), (31, "one two three"), (32, "ONE TWO\nTHREE")]
     assert got(make(rows), 3, "0.9") == brute(rows, 3, "0.9")
