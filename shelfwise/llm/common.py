@@ -1,6 +1,8 @@
 """Row identity, stored stages and table reading shared by the operators of this subpackage."""
 
 import os
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,15 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
+def aside(df: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """`df` with those columns renamed that look like the operators' own (they begin or end with two underscores), and
+    a function that gives such columns of a result their names back."""
+    taken = [c for c in df.columns if c.startswith("__") or c.endswith("__")]
+    new = {c: f"aside_{i}_{c.strip('_')}" for i, c in enumerate(taken)}
+    new = {c: n if n not in df.columns else f"{n}_{uuid.uuid4().hex}" for c, n in new.items()}
+    return df.withColumnsRenamed(new), lambda out: out.withColumnsRenamed({n: c for c, n in new.items()})
+
+
 def with_text(df: DataFrame, changed: Column, text: Column, columns: list[str]) -> DataFrame:
     """`columns` of `df` with a new text where `changed`, and with n_chars following it."""
     df = df.withColumn("__changed", changed).withColumn("__text", F.when(F.col("__changed"), text).otherwise(F.col("text")))

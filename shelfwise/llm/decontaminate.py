@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import ship, whole_text, with_text
+from shelfwise.llm.common import aside, ship, whole_text, with_text
 
 #: Words: runs of digits, ASCII letters and all characters beyond ASCII.
 WORD = "[^\x00-\x2f\x3a-\x60\x7b-\x7f]+"
@@ -180,6 +180,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 10, word
     The items are dealt into blocks by their total size, each block's automaton is built and broadcast on its
     own, and the documents stream through one after the other: no shuffle, whatever the number of blocks.
     A null or empty text or item has no words, an item without id is named "null", and repeated items count once.
+    `docs` must have no columns of these names; `decontaminate` sets such columns aside.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -210,10 +211,11 @@ def without_spans(text: Column, spans: Column) -> Column:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5) -> DataFrame:
     """`docs` without benchmark text: spans as long as a window are cut out, n_chars follows, and a document
     with more than `max_coverage` of its words in such spans goes. Documents without a find stay as they are."""
+    docs, back = aside(docs)
     found = find_benchmark(docs, benchmark, window)
     hit = F.aggregate("__runs", F.lit(0), lambda s, r: s + r["b"] - r["a"])
     found = found.where(hit <= F.col("__n_words") * max_coverage)
-    return with_text(found, F.size("__runs") > 0, without_spans(F.col("text"), F.col("__spans")), docs.columns)
+    return back(with_text(found, F.size("__runs") > 0, without_spans(F.col("text"), F.col("__spans")), docs.columns))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:

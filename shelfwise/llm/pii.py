@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import whole_text
+from shelfwise.llm.common import aside, whole_text
 
 #: Characters of context on each side of a candidate.
 CONTEXT = 40
@@ -127,15 +127,17 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     Positions are code points, end exclusive. Kinds: email, ip, card (Luhn), phone, and two that only score and
     checksum let through: iban (mod 97) and ssn (with supporting words nearby). A null text counts as empty and
-    has no spans; repeated rows have the same; rows are never moved, so neither ids nor hot values matter.
+    has no spans; repeated rows have the same; rows are never moved, so neither ids nor hot values matter. A
+    column `pii` of `docs` is replaced.
     """
+    docs, back = aside(docs)
     found = docs.withColumn("__text", whole_text())
     for kind in KINDS:
         found = _candidates(found, kind)
     every = F.array_sort(F.concat(*(F.transform(f"__{k.name}", lambda s: F.struct(s["start"], s["kind"], s["end"], s["score"])) for k in KINDS)))
     names, base = F.array(*(F.lit(k.name) for k in KINDS)), F.array(*(F.lit(k.base) for k in KINDS))
     pii = F.transform(every, lambda s: F.struct(s["start"], s["end"], F.get(names, s["kind"]).alias("kind"), s["score"], F.get(base, s["kind"]).alias("base")))
-    return found.withColumn("pii", pii).drop("__text", *(f"__{k.name}" for k in KINDS))
+    return back(found.withColumn("pii", pii).drop("__text", *(f"__{k.name}" for k in KINDS)))
 
 
 def listed(spans: Column) -> Column:

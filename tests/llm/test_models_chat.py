@@ -1,11 +1,15 @@
 import random
-import re
 
 import numpy as np
+import regex
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shelfwise.llm import secrets
 from shelfwise.llm.chat_views import rotate_perspectives
+from shelfwise.llm.common import table
+from shelfwise.llm.decontaminate import decontaminate
+from shelfwise.llm.pii import find_pii
 from shelfwise.llm.quality_gam import FEATURES, fit_gam, held_out, keep_good, quality_scores, text_features
 
 
@@ -76,7 +80,7 @@ def secret_rows(rng, n):
 
 def test_secrets(spark, make):
     rows, real = secret_rows(random.Random(2), 200)
-    extra = "".join(random.Random(3).choice("0123456789abcdef") for _ in range(40))
+    extra = "".join(random.Random(3).choices("0123456789abcdef", k=40))
     docs = make([*rows, (900, f'my password: "{extra}" keep it'), (901, None), (902, ""), (None, "é" + rows[0][1])])
     got = {r.doc_id: r for r in secrets.secret_report(docs).collect()}
     for i, text in rows:
@@ -103,31 +107,89 @@ def test_long_credential_names(spark, make):
             real[i] = key()
             words.insert(4, forms[i // 2 % 4].format(real[i]))
         rows.append((i, " ".join(words)))
-    want = sorted((m[0], t[max(0, m.start() - 40) : m.start()], t[m.end() : m.end() + 40]) for _, t in rows for m in re.finditer(secrets.CANDIDATE, t))
+    want = sorted((m[0], t[max(0, m.start() - 40) : m.start()], t[m.end() : m.end() + 40]) for _, t in rows for m in regex.finditer(secrets.CANDIDATE, t))
     assert sorted(tuple(r)[:3] for r in secrets.findings(make(rows)).collect()) == want
     got = {r.doc_id: r for r in secrets.secret_report(make(rows)).collect()}
     for i, text in rows:
         assert [text[slice(*map(int, s.split(":")))] for s in got[i].spans.split(",") if s] == ([real[i]] if i in real else [])
 
 
-def test_secrets_without_labels(spark, make):
+def test_secrets_without_findings(spark, make):
     assert secrets.secret_report(make([])).collect() == []
     got = secrets.secret_report(make([(1, "word word"), (2, "0123456789abcdef0123")])).collect()
-    assert sorted((r.doc_id, r.n_candidates, r.n_secrets) for r in got) == [(1, 0, 0), (2, 1, 0)]
+    assert sorted((r.doc_id, r.n_candidates) for r in got) == [(1, 0), (2, 1)]
+
+
+def test_harmless_findings_stay(spark, make):
+    """Commit hashes, checksums, identifiers and placeholders are no secrets; short assigned passwords are."""
+    rng = random.Random(9)
+    key = lambda n, of="0123456789abcdef": "".join(rng.choice(of) for _ in range(n))
+    rows, real = secret_rows(rng, 120)
+    harmless = [f"commit {key(40)}", f"sha256 checksum: {key(64)}", f"uuid {key(8)}-{key(4)}-{key(4)}-{key(4)}-{key(12)}", 'token = "your-api-key-goes-here-please"', 'password: "changeme-changeme"', "import src/internal/transport/handler"]
+    for i in range(60):
+        rows.append((1000 + i, f"some text {harmless[i % 6]} and more"))
+    for i in range(12):
+        real[2000 + i] = key(9, "abcdefghkmnpqr23456789!$%") + "7"
+        rows.append((2000 + i, f"my password: {real[2000 + i]} keep"))
+    got = {r.doc_id: r for r in secrets.secret_report(make(rows)).collect()}
+    assert not any(got[i].n_secrets for i, _ in rows if 1000 <= i < 2000)
+    found = {i: [t[slice(*map(int, s.split(":")))] for s in got[i].spans.split(",") if s] for i, t in rows}
+    assert sum(found[i] == [real[i]] for i in real) >= 0.95 * len(real)
 
 
-def test_forest_drops_false_positives(spark):
-    """Labelled findings in the same surroundings: the forest has to go by the characters."""
+def test_held_out_findings(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    q = secrets.held_out_quality(docs).first()
+    assert q.precision >= 0.9 and q.recall >= 0.9 and q.n_secret > 100 and q.n_harmless > 100, q
+
+
+def findings_to_learn(spark):
     rng = random.Random(4)
     good = ["".join(rng.choice("0123456789abcdefABCDEF") for _ in range(32)) for _ in range(150)]
     bad = ["".join(rng.choice(["house", "tree", "water"]) for _ in range(5)) for _ in range(150)]
     rows = [(v, "key: ", " end", "a/b.py", k) for k, vs in ((1, good), (0, bad)) for v in vs]
-    labelled = spark.createDataFrame(rows, "value string, before string, after string, path string, label int")
-    forest = secrets.train_forest(spark, labelled.where("value not like '%7'"), ["house", "tree", "water"])
-    judged = labelled.select("label", forest.score(*(F.col(c) for c in ("value", "before", "after", "path"))).alias("s")).collect()
+    return spark.createDataFrame(rows, "value string, before string, after string, path string, label int")
+
+
+FINDING = ("value", "before", "after", "path")
+
+
+def test_forest_drops_false_positives(spark):
+    """Labelled findings in the same surroundings: the forest has to go by the characters."""
+    labelled = findings_to_learn(spark)
+    forest, _ = secrets.train_forest(labelled.where("value not like '%7'"), ["house", "tree", "water"])
+    judged = labelled.select("label", forest.score(*(F.col(c) for c in FINDING)).alias("s")).collect()
     assert np.mean([(r.s >= 0.5) == bool(r.label) for r in judged]) > 0.97
 
 
+def test_forest_scores_are_the_models(spark):
+    known = ["house", "tree", "water"]
+    labelled = secrets.seeded(spark, 600).unionByName(findings_to_learn(spark))
+    forest, model = secrets.train_forest(labelled, known)
+    rows = secrets.measured(labelled, known)
+    both = model.transform(rows).select(vector_to_array("probability")[1].alias("want"), forest.score(*(F.col(c) for c in FINDING)).alias("got")).collect()
+    assert np.allclose([r.want for r in both], [r.got for r in both], atol=1e-9)
+
+
+def test_one_class_and_features(spark):
+    labelled = findings_to_learn(spark).where("label = 1")
+    forest, model = secrets.train_forest(labelled, [])
+    assert model is None and labelled.select(forest.score(*(F.col(c) for c in FINDING)).alias("s")).distinct().first().s == 1.0
+    # the label's own rule is no feature
+    assert not any("assigned" in f for f in secrets.FEATURES) and len(secrets.FEATURES) == len(secrets.measures(*(F.col(c) for c in FINDING), []))
+
+
+def test_clashing_columns_are_kept(spark, make):
+    docs = make([(1, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" end'), (2, None)]).withColumns({"__finds": F.lit(5), "__text": F.lit("own"), "candidates__": F.lit(1.5), "__runs": F.lit("r")})
+    cleaned = secrets.redact(docs)
+    assert cleaned.columns == docs.columns and {(r["__finds"], r["__text"], r["candidates__"], r["__runs"]) for r in cleaned.collect()} == {(5, "own", 1.5, "r")}
+    assert "<secret>" in cleaned.where("doc_id = 1").first().text
+    assert set(find_pii(docs).columns) == {*docs.columns, "pii"} and find_pii(docs).first()["__text"] == "own"
+    items = spark.createDataFrame([(1, "no such words")], "item_id long, text string")
+    kept = decontaminate(docs, items)
+    assert kept.columns == docs.columns and kept.first()["__runs"] == "r"
+
+
 CHAT = "conv_id long, turn long, role string, text string, start string, position int"
 
 

@@ -3,6 +3,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 import corpus_pipeline  # noqa: E402
 from shelfwise.llm.queries import ORACLES, QUERIES  # noqa: E402
 
@@ -46,6 +48,19 @@ def test_one_row_stays_of_repeated_rows(spark, make, odd_rows):
     assert rows == sorted({(i or 0, t or "") for i, t in odd_rows}) and got.columns == make([]).columns
 
 
+def test_whole_pipeline_on_odd_tables(spark, make, odd_rows, monkeypatch, tmp_path):
+    """Empty, null and clashing tables go through all stages."""
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, "a passage of the benchmark that is long enough to be found"), (None, None)], "item_id long, text string")
+    monkeypatch.setattr(corpus_pipeline, "QUALITY", 0.4)
+    for name, rows in (("none", []), ("odd", odd_rows)):
+        given = {"documents": make(rows).withColumns({"__row": F.lit(1), "__text": F.lit("own")}), "labels": none, "benchmark": items}
+        for k, df in given.items():
+            df.write.parquet(str(tmp_path / name / f"{k}.parquet"))
+        out = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert len(out) <= len(rows) and all(0 < r.copies <= 3 for r in out)
+
+
 def test_names():
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in QUERIES if n != "pipeline"} and set(ORACLES) < set(QUERIES)
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in QUERIES if n != "pipeline"} and set(ORACLES) < set(QUERIES)
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
