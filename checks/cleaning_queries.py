@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from checks import tables as t
 from checks.registry import near, near_sql, query, rounded
 from checks.tables import OFFER_SPAN, SPLITS
-from shelfwise.constants import FLOOR_TYPE_MAP, GRADE_MAP, LOCATION_TYPE_MAP, STORE_ATTRIBUTES
+from shelfwise.constants import FLOOR_TYPE_MAP, GRADE_MAP, LOCATION_TYPE_MAP, OFFER_COLUMNS, STORE_ATTRIBUTES
 from shelfwise.functions.dates import is_weekend, weekday
 from shelfwise.functions.scalar import fold_year
 from shelfwise.operators import clean as K
@@ -75,10 +75,9 @@ def median_by_item(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT s.item_code, s.store_id, s.day_dt, {near_sql('coalesce(s.loc_selling_area, m.med)')} AS loc_selling_area
-    FROM (SELECT * FROM sales JOIN store USING (store_id)) s
-    JOIN (SELECT item_code, store_type, median(loc_selling_area) AS med FROM sales JOIN store USING (store_id) GROUP BY ALL) m
-      ON s.item_code = m.item_code AND s.store_type = m.store_type""",
+    f""", placed AS MATERIALIZED (SELECT item_code, store_id, day_dt, store_type, loc_selling_area FROM sales JOIN store USING (store_id)),
+    medians AS MATERIALIZED (SELECT item_code, store_type, median(loc_selling_area) AS med FROM placed GROUP BY item_code, store_type)
+    SELECT item_code, store_id, day_dt, {near_sql('coalesce(loc_selling_area, med)')} AS loc_selling_area FROM placed JOIN medians USING (item_code, store_type)""",
     ("sales", "store"),
 )
 def median_by_store_type(spark: SparkSession, d: str) -> DataFrame:
@@ -236,7 +235,7 @@ def weekday_features(spark: SparkSession, d: str) -> DataFrame:
 
 # --- quality reports --------------------------------------------------------------------------------
 
-_PROFILED = ["offer_code", "osd_type", "prom0", "unit_price", "required_num", "amount", "prom_price", "retail_price"]
+_PROFILED = OFFER_COLUMNS
 
 
 @query(

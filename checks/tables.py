@@ -12,7 +12,7 @@ SPLITS = Splits("1996-01-01", ("2000-07-01", "2000-07-28"), ("2000-07-29", "2000
 WINDOWS = SPLITS.windows
 OFFER_SPAN = ("1995-01-01", "2001-12-31")
 FUTURE = ("2001-01-01", "2001-01-14")
-EVERY_STORE_FUTURE = ("2001-01-01", "2001-01-02")
+EVERY_STORE_FUTURE = FUTURE
 CALENDAR_SPAN = ("1994-12-26", "2001-12-31")
 BRAND_OUTLIER = 100
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from shelfwise.constants import LOW_VOLUME, PASS_BAND
 from shelfwise.functions.dates import between_days
 from shelfwise.functions.scalar import ratio
-from shelfwise.operators.stats import duplicate_keys
 
 Windows = Mapping[str, tuple[str, str]]
 
@@ -133,14 +132,13 @@ def test_stores(test: DataFrame, validation: DataFrame) -> DataFrame:
 
 
 def store_check(test: DataFrame) -> DataFrame:
-    """Per item the number of stores and of (item, store, day) keys that occur more than once."""
-    stores = test.groupBy("item_code").agg(F.count_distinct("store_id").alias("test_store_cnt"))
-    repeated = (
-        duplicate_keys(test, ["item_code", "store_id", "day_dt"])
-        .groupBy("item_code")
-        .agg(F.count(F.lit(1)).alias("n_repeated"))
-    )
-    return stores.join(repeated, "item_code", "left").na.fill({"n_repeated": 0})
+    """Per item the number of stores and of (item, store, day) keys that occur more than once.
+
+    The keys are grouped once; stores and items are counted from what that leaves.
+    """
+    keys = test.groupBy("item_code", "store_id", "day_dt").agg(F.count(F.lit(1)).alias("_n"))
+    stores = keys.groupBy("item_code", "store_id").agg(F.count_if(F.col("_n") > 1).alias("_repeated"))
+    return stores.groupBy("item_code").agg(F.count("store_id").alias("test_store_cnt"), F.sum("_repeated").alias("n_repeated"))
 
 
 def window_totals(scored: DataFrame, windows: Windows) -> DataFrame:

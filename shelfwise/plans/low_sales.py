@@ -9,7 +9,7 @@ from shelfwise.operators.clean import drop_span
 from shelfwise.operators.calendar import day_spans, dense
 from shelfwise.operators.prices import actual_prices
 from shelfwise.operators.sales import daily_sales, item_daily_sales
-from shelfwise.session import cut_lineage
+from shelfwise.session import stage_table
 
 
 def low_sales_table(
@@ -24,14 +24,15 @@ def low_sales_table(
 
     Sales and prices of a day are put together, and the item's highest price is found, before the days
     are filled in: the dense rows, by far the most, are joined once. The days with sales or prices are
-    checkpointed, being read for the spans, the highest price and the fill.
+    stored, being read for the spans, the highest price and the fill.
     """
     sold = item_daily_sales(daily_sales(transactions, channels, stores))
     priced = actual_prices(transactions, stores)
-    facts = cut_lineage(
+    facts = stage_table(
         sold.unionByName(priced, allowMissingColumns=True)
         .groupBy("item_code", "day_dt")
-        .agg(F.max(TARGET).alias(TARGET), F.max("unit_price").alias("unit_price"))
+        .agg(F.max(TARGET).alias(TARGET), F.max("unit_price").alias("unit_price")),
+        "item-days",
     )
     spans = day_spans(facts.where(F.col(TARGET).isNotNull()), end, not_before)
     highest = (

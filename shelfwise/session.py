@@ -44,12 +44,6 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so several passes over `df` do not recompute it and survive lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 _stages: list[tuple[SparkSession, str]] = []
 _tables: list[tuple[SparkSession, str]] = []
 
