@@ -3,10 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import row_id, stage, table, whole_text
+from shelfwise.llm.common import aside, row_id, stage, table, whole_text
 from shelfwise.llm.decontaminate import decontaminate
 from shelfwise.llm.jaccard_join import jaccard_classes
-from shelfwise.llm.pareto_mix import mix_sources
+from shelfwise.llm.pareto_mix import by_length, mix_sources
 from shelfwise.llm.quality_gam import keep_good
 from shelfwise.llm.secrets import redact
 
@@ -28,8 +28,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = stage(jaccard_classes(docs, WIDTH, SIMILARITY).select("rid", "row", "component"), "groups")
     first = found.where("component is not null").groupBy("component").agg(F.min(F.struct("rid", "row")).alias("first")).select("first.*")
     kept = first.unionByName(found.where("component is null").select("rid", "row")).distinct()
+    docs, back = aside(docs)
     keyed = docs.withColumns({"__rid": row_id(), "__row": F.xxhash64(whole_text())}).dropDuplicates(["__rid", "__row"])
-    return keyed.join(kept.toDF("__rid", "__row"), ["__rid", "__row"], "left_semi").select(*docs.columns)
+    return back(keyed.join(kept.toDF("__rid", "__row"), ["__rid", "__row"], "left_semi").select(*docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the number of copies that the mixture takes of each."""
-    return mix_sources(docs).where("copies > 0")
+    return mix_sources(docs, preference=by_length).where("copies > 0")
 
 
 STAGES = [
