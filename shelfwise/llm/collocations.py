@@ -11,11 +11,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import ship, shuffle_partitions, stage, whole_text
-from shelfwise.llm.encoded import Vocabulary, chunked, entry_counts, packed, unpacked, with_values
+from shelfwise.llm.encoded import PART_TOKENS, chunked, dictionary, free, numbered, packed, unpacked, with_words
 from shelfwise.llm.shingles import mixed
 
 #: A-Z to lower case, ends of pieces to a line feed, tabs to spaces.
@@ -31,48 +32,60 @@ END, NOTHING = 0, 1
 _WIDE = np.int64(32)
 
 
-def _encode(texts: list[tuple]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _encode(texts: list[tuple]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Entries are `lang TAB word`; a language's texts come together, each piece with its end."""
     by_lang: dict[str, list[bytes]] = {}
     for _, _, lang, text in texts:
         by_lang.setdefault(lang, []).append(text.translate(_CODES))
-    entries, streams = [b"", b""], []
+    entries, streams, n = [pa.array([b"", b""], pa.binary())], [], 2
     for lang, own in by_lang.items():
-        vocabulary = Vocabulary({b"\n": END, b"": NOTHING})
-        words = b"\n".join([*own, b""]).replace(b"\n", b" \n ").split(b" ")
-        tokens = np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words))
-        streams.append(np.where(tokens > NOTHING, tokens + (len(entries) - 2), tokens)[tokens != NOTHING])
-        tag = lang.encode() + b"\t"
-        entries += [tag + word for word in list(vocabulary)[2:]]
+        tokens, words = numbered(b"\n".join([*own, b""]).replace(b"\n", b" \n "), (b"\n", b""))
+        streams.append(np.where(tokens > NOTHING, tokens + (n - 2), tokens)[tokens != NOTHING])
+        tagged = pc.binary_join_element_wise(pa.scalar(lang.encode() + b"\t", pa.binary()), words.slice(2), pa.scalar(b"", pa.binary()))
+        entries.append(tagged)
+        n += len(tagged)
     tokens = np.concatenate(streams)
-    counts = np.bincount(tokens, minlength=len(entries))
+    counts = np.bincount(tokens, minlength=n)
     counts[:2] = 0
-    return entries, counts, tokens
+    return pa.concat_arrays(entries), counts, tokens
+
+
+def _coded(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places among the different numbers, and these."""
+    coded = pa.array(numbers).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False)
+
+
+_BLOCKS = "bucket int, n int, first binary, second binary, third binary, f binary"
 
 
 def _grams(buckets: int):
     """(bucket, n, first, second, third, f): the chunk's grams by bucket of their first two words; -1 for no word."""
 
-    def work(ids: np.ndarray, tokens: np.ndarray, documents: list) -> Iterator[pa.RecordBatch]:
+    def work(ids: np.ndarray, counts: np.ndarray, tokens: np.ndarray, documents: list) -> Iterator[pa.RecordBatch]:
+        padded = np.concatenate([tokens, np.full(2, END, np.int32)])
+        for start in range(0, len(tokens), PART_TOKENS):
+            yield from part(ids, padded[start : start + PART_TOKENS + 2])
+
+    def part(ids: np.ndarray, padded: np.ndarray) -> Iterator[pa.RecordBatch]:
         known = ids >= 0
-        at = np.flatnonzero(known[tokens])
-        padded = np.concatenate([tokens, [END, END]])
-        second = padded[at + 1]
+        at = np.flatnonzero(known[padded[:-2]])
+        second, third = padded[at + 1], padded[at + 2]
         second = np.where(known[second], second, END)
-        third = padded[at + 2]
         third = np.where(known[third] & (second != END), third, END)
-        nodes, node = np.unique(tokens[at].astype(np.int64) << _WIDE | second, return_inverse=True)
-        grams, f = np.unique(node.astype(np.int64) << _WIDE | third, return_counts=True)
-        node, low = nodes[grams >> _WIDE], np.int64(0xFFFFFFFF)
+        node, nodes = _coded(padded[at].astype(np.int64) << _WIDE | second)
+        gram, grams = _coded(node << _WIDE | third)
+        f, low = np.bincount(gram, minlength=len(grams)), np.int64(0xFFFFFFFF)
+        node = nodes[grams >> _WIDE]
         words = [ids[node >> _WIDE], ids[node & low], ids[grams & low]]
-        bucket = (mixed(words[0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ words[1].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((words[0], bucket))
-        bucket, words, f = bucket[order], [w[order] for w in words], f[order]
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else [0]
-        rows = [(int(bucket[a]), int(b - a), *(pa.compress(x[a:b].astype("<i8").tobytes(), codec="zstd", asbytes=True) for x in (*words, f))) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        bucket = mixed(words[0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ words[1].astype(np.uint64)) % np.uint64(buckets)
+        order = np.argsort(bucket.astype(np.uint16 if buckets < 1 << 16 else np.uint32), kind="stable")
+        bucket, words, f = bucket[order].astype(np.int64), [w[order] for w in words], f[order]
+        edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)] if len(bucket) else [0]
+        rows = [(int(bucket[a]), b - a, *(packed(x[a:b]) for x in (*words, f))) for a, b in zip(edges[:-1], edges[1:], strict=True)]
         if rows:
             kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "n", "first", "second", "third", "f"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[c.split()[0] for c in _BLOCKS.split(", ")])
 
     return work
 
@@ -81,38 +94,40 @@ def _flow(least: int):
     """Frequent nodes and edges of each bucket: (first, second, third, f), third null for nodes; rows come by bucket."""
 
     def close(held: list[list[np.ndarray]]) -> pa.RecordBatch:
-        first, second, third, f = (np.concatenate(c) for c in zip(*held, strict=True))
-        order = np.lexsort((third, second, first))
-        first, second, third, f = first[order], second[order], third[order], f[order]
-        new_node = np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
-        new = np.flatnonzero(new_node | np.concatenate([[True], third[1:] != third[:-1]]))
-        weight, nodes = np.add.reduceat(f, new), np.flatnonzero(new_node)
-        through = np.add.reduceat(f, nodes)  # edges out of the node and piece ends at it
-        edge = new[(third[new] >= 0) & (weight >= least)]
-        node = nodes[(second[nodes] >= 0) & (through >= least)]
-        columns = [np.concatenate([x[node], x[edge]]) for x in (first, second, third)]
-        columns.append(np.concatenate([through[(second[nodes] >= 0) & (through >= least)], weight[(third[new] >= 0) & (weight >= least)]]))
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        (first, firsts), (second, seconds), (third, thirds) = (_coded(c) for c in columns[:3])
+        node, nodes = _coded(first << _WIDE | second)
+        gram, grams = _coded(node << _WIDE | third)
+        # through a node go the edges out of it and the piece ends at it
+        through, weight = (np.bincount(which, columns[3], len(all_)).astype(np.int64) for which, all_ in ((node, nodes), (gram, grams)))
+        low = np.int64(0xFFFFFFFF)
+        node_first, node_second, of = firsts[nodes >> _WIDE], seconds[nodes & low], grams >> _WIDE
+        node, edge = np.flatnonzero((node_second >= 0) & (through >= least)), np.flatnonzero((thirds[grams & low] >= 0) & (weight >= least))
+        out = [np.concatenate([x[node], x[of[edge]]]) for x in (node_first, node_second)]
+        out += [np.concatenate([np.zeros(len(node), np.int64), thirds[grams & low][edge]]), np.concatenate([through[node], weight[edge]])]
         gap = np.concatenate([np.ones(len(node), bool), np.zeros(len(edge), bool)])
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64(), mask=gap if i == 2 else None) for i, c in enumerate(columns)], names=["first", "second", "third", "f"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64(), mask=gap if i == 2 else None) for i, c in enumerate(out)], names=["first", "second", "third", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
         for batch in batches:
-            for i in range(batch.num_rows):
-                bucket, n = batch.column("bucket")[i].as_py(), batch.column("n")[i].as_py()
+            for i, (bucket, n) in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("n").to_pylist(), strict=True)):
                 if bucket != at and held:
                     yield close(held)
                     held = []
+                    free()
                 at = bucket
-                held.append([np.frombuffer(pa.decompress(batch.column(c)[i].as_buffer(), decompressed_size=8 * n, codec="zstd"), "<i8") for c in ("first", "second", "third", "f")])
+                held.append([unpacked(batch.column(c)[i].as_py(), n, np.int64) for c in ("first", "second", "third", "f")])
         if held:
             yield close(held)
+            del held
+        free()
 
     return run
 
 
 #: Grams of a bucket, about: what a task holds at a time.
-BUCKET_GRAMS = 2_000_000
+BUCKET_GRAMS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -168,6 +183,13 @@ def compacted_paths(edges: DataFrame) -> DataFrame:
     return paths.select(path.alias("path"), "f", F.size(path).alias("words"))
 
 
+def _split() -> dict[str, Column]:
+    """Language and word of an entry; no word holds a tab."""
+    entry = F.col("entry").cast("string")
+    word = F.substring_index(entry, "\t", -1)
+    return {"lang": F.left(entry, F.char_length(entry) - F.char_length(word) - 1), "word": word}
+
+
 def phrase_graph(docs: DataFrame, least: int = 10) -> PhraseGraph:
     """The graph of all texts: nodes and edges of at least `least` occurrences, with exact counts.
 
@@ -181,14 +203,14 @@ def phrase_graph(docs: DataFrame, least: int = 10) -> PhraseGraph:
         whole_text().cast("binary").alias("text"),
     )
     chunks = stage(chunked(texts, _encode), "chunks")
-    counted = stage(entry_counts(chunks), "words")
-    entry = F.col("entry").cast("string")
-    split = {"lang": F.regexp_extract(entry, r"(?s)^(.*)\t", 1), "word": F.substring_index(entry, "\t", -1)}
-    totals = stage(counted.withColumns(split).groupBy("lang").agg(F.sum("count").alias("n")), "totals")
-    words = stage(counted.where(F.col("count") >= least).select(F.monotonically_increasing_id().alias("id"), "entry", F.col("count").alias("f")), "vocabulary")
+    counted, places = dictionary(chunks, least)
+    words = counted.select("id", "entry", F.col("count").alias("f"))
+    totals = chunks.select(F.explode(F.arrays_zip("entries", "counts")).alias("e")).where("e.counts > 0").select(F.col("e.entries").alias("entry"), "e.counts")
+    totals = totals.withColumns(_split()).groupBy("lang").agg(F.sum("counts").alias("n"))
+    totals = stage(totals, "totals")
     size = totals.agg(F.sum("n")).first()[0] or 0
     buckets = max(shuffle_partitions(spark), -(-size // BUCKET_GRAMS))
-    blocks = with_values(chunks, words.withColumnRenamed("id", "value"), -1, _grams(buckets), "bucket int, n int, first binary, second binary, third binary, f binary")
+    blocks = with_words(chunks, places, _grams(buckets), _BLOCKS)
     dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     grams = stage(dealt.mapInArrow(_flow(least), "first long, second long, third long, f long"), "flow")
     nodes, edges = grams.where("third is null").drop("third"), grams.where("third is not null")
@@ -199,7 +221,7 @@ def phrase_graph(docs: DataFrame, least: int = 10) -> PhraseGraph:
     edges = edges.join(nodes.select(F.col("first").alias("second"), F.col("second").alias("third"), F.col("f").alias("to_f")), ["second", "third"])
     edges = edges.join(f_of("first", "f1"), "first").join(f_of("third", "f3"), "third").withColumn("best", F.least(_cut(1, "f1", "to_f"), _cut(2, "from_f", "f3")))
     edges = stage(edges.select("first", "second", "third", "f", "best.*", "from_f", "to_f"), "edges")
-    return PhraseGraph(words.withColumns(split).drop("entry"), totals, nodes, edges, stage(compacted_paths(edges), "paths"))
+    return PhraseGraph(words.withColumns(_split()).drop("entry"), totals, nodes, edges, stage(compacted_paths(edges), "paths"))
 
 
 def _inside_longer(graph: PhraseGraph, percent: int) -> DataFrame:
