@@ -14,7 +14,8 @@ from shelfwise.llm.decontaminate import contamination
 from shelfwise.llm.hard_negatives import hard_negatives
 from shelfwise.llm.imatch import fingerprint_report
 from shelfwise.llm.jaccard_join import jaccard_components
-from shelfwise.llm.pareto_mix import mix_sources
+from shelfwise.llm.log_bilinear import language_model_scores
+from shelfwise.llm.pareto_mix import by_length, mix_sources
 from shelfwise.llm.pii import pii_digest
 from shelfwise.llm.quality_gam import quality_scores
 from shelfwise.llm.secrets import secret_report
@@ -57,8 +58,8 @@ def op6_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed to source weights 1, 2, 3."""
-    return mix_sources(table(spark, sf_dir, "documents"))
+    """All documents mixed to source weights 1, 2, 3, longer ones preferred."""
+    return mix_sources(table(spark, sf_dir, "documents"), preference=by_length)
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +87,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents, learned from those that are not held out."""
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -104,6 +110,7 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_collocations": op12_collocations,
+    "op13_log_bilinear": op13_log_bilinear,
     "pipeline": pipeline,
 }
 ORACLES = {
