@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from shelfwise.operators import calendar as C
 from shelfwise.operators import lookup as L
 from shelfwise.operators import panel as N
+from shelfwise.operators.split import Splits
+from shelfwise.plans.alerts import alert_rows, feature_checks, write_with_alerts
 from shelfwise.plans.features import FeatureInputs, add_offer_features, build_features
+from shelfwise.plans.pooled import pooled_items, pooled_rows, pooled_sets
+from shelfwise.plans.settings import ForecastSettings
 from tests.conftest import rows
 
 
@@ -61,6 +65,47 @@ def test_dictionary_encode(spark):
     assert rows(coded) == [(None, None), ("S1", "T")]
 
 
+def test_dictionary_maps_are_the_joins(spark):
+    codes = spark.createDataFrame(
+        [("store_id", "S1", "1"), ("store_type", "T", "mall"), ("twice", "A", "x"), ("twice", "B", "x"), ("many", "M7", "7"), *[("many", f"M{i}", str(100 + i)) for i in range(300)], ("store_type", "N", None)],
+        "code_type string, key_id string, value_id string",
+    )
+    data = spark.createDataFrame([(1, "mall", "x", 7, "q", 3), (2, "street", None, 399, None, 4), (None, None, "y", 5, "q", 5)], "store_id int, store_type string, twice string, many int, uncoded string, n int")
+    features = ["store_id", "store_type", "twice", "many", "uncoded", "missing"]
+    mapped = L.dictionary_encode_by_maps(data, codes, features)
+    assert rows(mapped, *sorted(mapped.columns)) == rows(L.dictionary_encode(data, codes, features), *sorted(mapped.columns))
+    # few codes with one value each need no join; a value with two codes and a long list of codes do
+    few = L.dictionary_encode_by_maps(data, codes, ["store_id", "store_type", "uncoded"])
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan.split("Subquery")[0] and few.count() == 3
+    assert L.dictionary_encode_by_maps(data, codes, features)._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2
+
+
+def test_alerts_come_with_the_write(spark, tmp_path):
+    table = spark.createDataFrame([("1", 2.0, None), ("2", None, None), ("3", None, "x")], "item_code string, ttl_quantity double, offer_code string")
+    checks = feature_checks(["item_code", "offer_code"])
+    got = write_with_alerts(table, str(tmp_path / "t"), checks, ["offer_code", "zone_id"])
+    assert got == {"n_rows": 3, "n_matched": 1, "nothing_matched": 0, "missing_item_code": 0, "missing_offer_code": 2, "absent_columns": 1}
+    assert rows(spark.read.parquet(str(tmp_path / "t"))) == rows(table)
+    assert dict(rows(alert_rows(spark, got)))["n_matched"] == 1
+    none = write_with_alerts(table.limit(0), str(tmp_path / "none"), checks)
+    assert (none["n_rows"], none["nothing_matched"], none["absent_columns"]) == (0, 1, 0)
+
+
+def test_all_pooled_sets_are_those_of_each_subclass(spark):
+    kinds = ["prom0", "prom1"]
+    offers = [("a", 1, 0, "2020-02-01"), ("a", 1, 1, "2020-04-02"), ("b", 0, 1, "2020-02-01"), ("b", 0, 1, "2020-04-02"), ("c", 1, None, "2020-04-02"), ("c", 1, 1, "2020-04-02")]
+    table = spark.createDataFrame([(i, float(x), None if y is None else float(y), d(t), d(t)) for i, x, y, t in offers], "item string, prom0 double, prom1 double, offer_start_date date, offer_end_date date")
+    products = spark.createDataFrame([("a", "cream"), ("b", "cream"), ("b", "soap"), ("c", "soap")], "item_code string, sbclass_desc string")
+    settings = ForecastSettings(splits=Splits("2020-01-01", ("2020-03-01", "2020-03-10"), ("2020-03-11", "2020-03-20"), ("2020-04-01", "2020-04-10")))
+    sets = pooled_sets(table, products, kinds, settings)
+    assert rows(sets) == [("cream", "prom0", "a"), ("cream", "prom1", "b")]
+    for sbclass in ("cream", "soap"):
+        for kind in kinds:
+            assert rows(pooled_items(table, products, sbclass, kind, settings)) == rows(sets.where((F.col("sbclass_desc") == sbclass) & (F.col("kind") == kind)), "item_code")
+    assert rows(pooled_rows(spark.createDataFrame([("a", 1), ("z", 2)], "item_code string, v int"), sets), "kind", "v") == [("prom0", 1)]
+
+
 def test_match_flag(spark):
     left = spark.createDataFrame([(1,), (2,)], "k int")
     right = spark.createDataFrame([(1,)], "k int")
