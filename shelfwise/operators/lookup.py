@@ -10,13 +10,18 @@ from shelfwise.session import salts as session_salts
 from shelfwise.session import stage_table
 
 
-def fully_spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partitioned over the session's full number of shuffle partitions.
+#: Rows that are expanded to days are spread over so many times the session's shuffle partitions.
+DAY_PARTS = 4
+
+
+def fully_spread(df: DataFrame, *keys: str, times: int = 1) -> DataFrame:
+    """Hash-partitioned over the session's full number of shuffle partitions, or so many `times` that.
 
     For rows that are about to be multiplied: run-time coalescing goes by their size before that and
-    would leave the many rows to a few tasks, but it keeps a number of partitions that was asked for.
+    would leave the many rows to a few tasks, but it keeps a number of partitions that was asked for. What is
+    grouped by the same keys and more afterwards stays where it is.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = times * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(partitions, *keys)
 
 
@@ -44,16 +49,23 @@ def every_pair(left: DataFrame, right: DataFrame, right_key: str, left_key: str
     return fully_spread(lines, *cell).join(fully_spread(columns, *cell), cell).drop(*cell)
 
 
-def spread_join(df: DataFrame, groups: DataFrame, key: str, spread_by: Sequence[str], salts: int | None = None) -> DataFrame:
+def spread_join(
+    df: DataFrame, groups: DataFrame, key: str, spread_by: Sequence[str], salts: int | None = None, hot: DataFrame | None = None
+) -> DataFrame:
     """Inner join of rows with one row per key, for a key that may hold much of the table.
 
     The rows of a key are spread over `salts` sub-keys (the session's number) by other columns and the groups are copied to each
     of them. An aggregation by the key that follows then has to shuffle partial results instead of
-    staying in the one task that holds the key.
+    staying in the one task that holds the key. With `hot`, a stored list of keys, only those are spread and copied.
     """
     salts = salts or session_salts(df.sparkSession)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    wanted = F.lit(salts)
+    if hot is not None:
+        marks = hot.select(key, F.lit(salts).alias("_salts"))
+        df, groups = df.join(marks, key, "left"), groups.join(marks, key, "left")
+        wanted = F.coalesce(F.col("_salts"), F.lit(1))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), wanted).cast("int")).drop("_salts")
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), wanted - 1))).drop("_salts")
     return salted.join(copies, [key, "_salt"]).drop("_salt")
 
 

@@ -16,8 +16,11 @@ from shelfwise.constants import (
 )
 from shelfwise.functions.dates import day, days_from
 from shelfwise.functions.scalar import date_or_null, discount_rate, id_text, number_or_null
-from shelfwise.operators.lookup import spread_join
-from shelfwise.session import salts
+from shelfwise.operators.lookup import DAY_PARTS, fully_spread, spread_join
+from shelfwise.session import salts, stage_table
+
+#: An item of more offers than this is spread over several tasks while its offers are cut into stretches.
+HOT_OFFERS = 50_000
 
 VALIDITY = ["offer_start_date", "offer_end_date"]
 SEGMENT = ["segment_start", "segment_end"]
@@ -53,9 +56,10 @@ def expand_offers(offers: DataFrame, start: str | date, end: str | date) -> Data
     """One row per offer and valid day inside the horizon, both ends included.
 
     The validity is clipped to the horizon before it is expanded, so an open-ended offer costs no more
-    rows than the horizon has days and no interval comparison is left for the join.
+    rows than the horizon has days and no interval comparison is left for the join. Offers are placed by item and code
+    before they are expanded, so that a count of their days shuffles offers and not days.
     """
-    clipped = _clip(offers, (start, end))
+    clipped = fully_spread(_clip(offers, (start, end)), "item", "offer_code", times=DAY_PARTS)
     return clipped.withColumn("day_dt", F.explode(days_from(F.col("_first"), F.col("_last")))).drop("_first", "_last")
 
 
@@ -64,20 +68,28 @@ def offer_segments(offers: DataFrame, horizon: Horizon | None = None) -> DataFra
 
     Stretches begin and end where any offer of the item does (`segment_start`, `segment_end`, both
     included). An offer of three weeks that meets no other is one row instead of 21. The list of edges of
-    an item is never longer than the horizon has days.
+    an item is never longer than the horizon has days. The lists are stored with each item's number of offers: the rows
+    are placed by item, once, and what is grouped by item and stretch next stays there. Only where an item
+    has more than `HOT_OFFERS` offers is that item spread.
     """
     clipped = _clip(offers, horizon)
-    edges = (
+    edges = stage_table(
         clipped.select("item", F.explode(F.array("_first", F.date_add("_last", 1))).alias("_edge"))
         .groupBy("item")
-        .agg(F.sort_array(F.collect_set("_edge")).alias("_edges"))
+        .agg(F.sort_array(F.collect_set("_edge")).alias("_edges"), (F.count(F.lit(1)) / 2).alias("_offers")),
+        "edges",
     )
+    hot = stage_table(edges.where(F.col("_offers") > HOT_OFFERS).select("item"), "hot-items")
+    edges = edges.drop("_offers")
+    if hot.isEmpty():
+        placed = fully_spread(clipped, "item").join(edges, "item")
+    else:
+        placed = spread_join(clipped, edges, "item", ["offer_code"], hot=hot)
     begin = F.array_position("_edges", F.col("_first")).cast("int")
     length = (F.array_position("_edges", F.date_add("_last", 1)) - F.array_position("_edges", F.col("_first"))).cast("int")
     stretches = F.arrays_zip(F.slice("_edges", begin, length).alias("a"), F.slice("_edges", begin + 1, length).alias("b"))
     return (
-        spread_join(clipped, edges, "item", ["offer_code"])
-        .withColumn("_stretch", F.explode(stretches))
+        placed.withColumn("_stretch", F.explode(stretches))
         .withColumns(
             {"segment_start": F.col("_stretch")["a"], "segment_end": F.date_sub(F.col("_stretch")["b"], 1)}
         )
@@ -142,7 +154,8 @@ def promotion_age(offers: DataFrame, overlap: str = "latest_start", horizon: Hor
     validity = offers.select("item", "offer_code", *VALIDITY)
     age = F.datediff("day_dt", "offer_start_date").alias("day_of_prom")
     if overlap == "all":
-        days = _clip(validity, horizon).select("item", "offer_start_date", F.explode(days_from(F.col("_first"), F.col("_last"))).alias("day_dt"))
+        clipped = fully_spread(_clip(validity, horizon).drop("offer_code"), "item", times=DAY_PARTS)
+        days = clipped.select("item", "offer_start_date", F.explode(days_from(F.col("_first"), F.col("_last"))).alias("day_dt"))
         return days.select("item", "day_dt", age)
     if overlap != "latest_start":
         raise ValueError(f"overlap must be 'latest_start' or 'all', not {overlap!r}")

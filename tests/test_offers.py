@@ -130,3 +130,37 @@ def test_same_offer_items(spark):
     found = O.same_offer_items(data, "prom1", ("2021-01-01", "2021-02-01"), ("2020-01-01", "2020-12-31"), members)
     assert rows(found) == ["1"]
     assert rows(O.same_offer_items(data, "prom1", ("2021-01-01", "2021-02-01"), ("2020-01-01", "2020-12-31"), members.where(F.col("item") == "2"))) == []
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def _many_offers(spark):
+    return spark.range(400).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id % 20 as string)) AS item", "cast(id % 50 as string) AS offer_code",
+        "date_add(date'2020-01-01', cast(id * 7 % 60 as int)) AS offer_start_date", "date_add(date'2020-01-01', cast(id * 7 % 60 + id % 9 as int)) AS offer_end_date",
+        "if(id % 4 = 0, null, cast(id % 13 as double)) AS unit_price", "if(id % 5 = 0, null, 20.0D) AS retail_price", "if(id % 6 = 0, null, cast(id as string)) AS flag",
+    )
+
+
+def test_stretches_are_placed_once_by_item(spark):
+    table = _many_offers(spark)
+    with_edges = O.offer_segments(table)
+    assert _exchanges(O.best_offer(with_edges, ["item", *O.SEGMENT])) == _exchanges(with_edges)
+
+
+def test_a_hot_item_gives_the_same_best_offers(spark, monkeypatch):
+    table = _many_offers(spark)
+    plain = rows(O.promotion_calendar(table, "2020-01-01", "2020-03-31"))
+    ages = rows(O.promotion_age(table))
+    monkeypatch.setattr(O, "HOT_OFFERS", 50)
+    assert rows(O.promotion_calendar(table, "2020-01-01", "2020-03-31")) == plain
+    assert rows(O.promotion_age(table)) == ages
+
+
+def test_days_of_offers_are_counted_where_they_are_made(spark):
+    table = _many_offers(spark)
+    expanded = O.expand_offers(table, "2020-01-01", "2020-03-31")
+    assert _exchanges(expanded.groupBy("item", "offer_code", "day_dt").count()) == 1
+    assert _exchanges(O.promotion_age(table, overlap="all").groupBy("item", "day_dt", "day_of_prom").count()) == 1
