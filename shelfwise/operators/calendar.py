@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.dates import day, days_from, is_weekend, week_start, weekday
-from shelfwise.operators.lookup import fully_spread
+from shelfwise.operators.lookup import DAY_PARTS, fully_spread
 
 
 def calendar_days(spark: SparkSession, start: str | date, end: str | date) -> DataFrame:
@@ -49,6 +49,20 @@ def own_spans(series: DataFrame, key: str = "item_code") -> DataFrame:
 
 
 def dense(spans: DataFrame, facts: DataFrame, value: str = "ttl_quantity", key: str = "item_code") -> DataFrame:
-    """One row per key and day of its span with the facts of that day; a missing value counts 0."""
-    days = fully_spread(spans, key).withColumn("day_dt", F.explode(days_from(F.col("_first"), F.col("_last")))).drop("_first", "_last")
-    return days.join(facts, [key, "day_dt"], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
+    """One row per key and day of its span with the facts of that day; a missing value counts 0.
+
+    The facts of a key, one per day, are an array beside its span: those inside it and its other days are
+    listed in place, so only spans and facts are shuffled and never the dense rows.
+    """
+    names = [c for c in facts.columns if c not in (key, "day_dt")]
+    own = facts.where(F.col("day_dt").isNotNull()).groupBy(key).agg(F.collect_list(F.struct("day_dt", *names)).alias("_facts"))
+    kind = own.schema["_facts"].dataType
+    known = F.filter(F.coalesce("_facts", F.array().cast(kind)), lambda f: f["day_dt"].between(F.col("_first"), F.col("_last")))
+    missing = F.array_except(days_from(F.col("_first"), F.col("_last")), F.transform("_known", lambda f: f["day_dt"]))
+    empty = F.transform("_missing", lambda d: F.struct(d.alias("day_dt"), *[F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in names]))
+    placed = fully_spread(spans, key, times=DAY_PARTS).join(own, key, "left").withColumn("_known", known).withColumn("_missing", missing)
+    listed = placed.withColumn("_day", F.explode(F.concat("_known", empty.cast(kind))))
+    rest = [c for c in spans.columns if c not in (key, "_first", "_last")]
+    found = [F.col("_day")[c].alias(c) for c in names]
+    days = listed.select(key, F.col("_day")["day_dt"].alias("day_dt"), *rest, *found)
+    return days.withColumn(value, F.coalesce(value, F.lit(0.0)))

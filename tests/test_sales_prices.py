@@ -2,6 +2,8 @@ import math
 import random
 from datetime import date, datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from shelfwise.operators import calendar as C
 from shelfwise.operators import prices as P
 from shelfwise.operators import sales as S
@@ -106,3 +108,25 @@ def test_span_after_its_end_is_empty(spark):
     dense = C.dense(C.day_spans(series, "2020-05-03", "2020-01-01"), series)
     assert rows(dense, "item_code").count("1") == 3
     assert rows(dense, "item_code").count("2") == 0
+
+
+def test_dense_days_are_made_beside_their_facts(spark):
+    facts = spark.createDataFrame(
+        [("a", "2020-01-02", 2.0, 5.0), ("a", "2020-01-04", None, 6.0), ("a", "2020-02-01", 9.0, None), ("b", None, 1.0, 1.0), (None, "2020-01-02", 3.0, 1.0)],
+        "item_code string, day_dt string, ttl_quantity double, unit_price double",
+    ).withColumn("day_dt", F.col("day_dt").cast("date"))
+    spans = spark.createDataFrame(
+        [("a", "2020-01-01", "2020-01-04", 7), ("b", "2020-01-01", "2020-01-01", 8), (None, "2020-01-02", "2020-01-02", 9), ("c", "2020-01-03", "2020-01-02", 1)],
+        "item_code string, _first string, _last string, n int",
+    ).withColumns({c: F.col(c).cast("date") for c in ("_first", "_last")})
+    dense = C.dense(spans, facts)
+    assert rows(dense.withColumn("day_dt", F.col("day_dt").cast("string"))) == [
+        (None, "2020-01-02", 9, 0.0, None),
+        ("a", "2020-01-01", 7, 0.0, None),
+        ("a", "2020-01-02", 7, 2.0, 5.0),
+        ("a", "2020-01-03", 7, 0.0, None),
+        ("a", "2020-01-04", 7, 0.0, 6.0),
+        ("b", "2020-01-01", 8, 0.0, None),
+    ]
+    plan = dense.groupBy("item_code", "day_dt").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("Generate explode")[0]
