@@ -164,3 +164,15 @@ def test_days_of_offers_are_counted_where_they_are_made(spark):
     expanded = O.expand_offers(table, "2020-01-01", "2020-03-31")
     assert _exchanges(expanded.groupBy("item", "offer_code", "day_dt").count()) == 1
     assert _exchanges(O.promotion_age(table, overlap="all").groupBy("item", "day_dt", "day_of_prom").count()) == 1
+
+
+def test_a_day_takes_the_stretch_that_holds_it(spark):
+    table = _many_offers(spark).unionByName(_many_offers(spark).limit(1).withColumn("item", F.lit(None).cast("string")))
+    days = spark.range(0, 110).selectExpr("date_add(date'2019-12-20', cast(id as int)) AS day_dt").crossJoin(
+        spark.createDataFrame([("hot",), ("1",), ("none",), (None,)], "item_code string")
+    ).select("item_code", "day_dt")
+    days = days.unionByName(spark.sql("SELECT '1' AS item_code, CAST(NULL AS date) AS day_dt"))
+    span = ("2020-01-01", "2020-03-31")
+    expected = days.join(O.promotion_calendar(table, *span).withColumnRenamed("item", "item_code"), ["item_code", "day_dt"], "left")
+    got = O.with_stretch_of_day(days, O.promotion_stretches(table, *span))
+    assert rows(got, *expected.columns) == rows(expected)
