@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.dates import day, days_from
 from shelfwise.operators.calendar import weeks_to_days
-from shelfwise.operators.lookup import every_pair
+from shelfwise.operators.lookup import DAY_PARTS, every_pair, fully_spread
 
 PANEL_KEYS = ["item_code", "store_id", "day_dt"]
 
 
 def shelf_plan_days(shelf_plan: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Panel keys of the weeks in which an item is planned for a store."""
-    days = weeks_to_days(shelf_plan, calendar.select("wk_idnt", "day_dt"))
+    """Panel keys of the weeks in which an item is planned for a store.
+
+    Weeks are placed by item and store before they become days, so that repeats among the days are found where they are.
+    """
+    days = weeks_to_days(fully_spread(shelf_plan, "item_idnt", "loc_idnt", times=DAY_PARTS), calendar.select("wk_idnt", "day_dt"))
     return days.select(
         F.col("item_idnt").cast("string").alias("item_code"), F.col("loc_idnt").cast("string").alias("store_id"), "day_dt"
     )
