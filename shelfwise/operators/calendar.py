@@ -4,6 +4,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.functions.dates import day, days_from, is_weekend, week_start, weekday
 from shelfwise.operators.lookup import DAY_PARTS, fully_spread
@@ -55,8 +56,8 @@ def dense(spans: DataFrame, facts: DataFrame, value: str = "ttl_quantity", key:
     listed in place, so only spans and facts are shuffled and never the dense rows.
     """
     names = [c for c in facts.columns if c not in (key, "day_dt")]
-    own = facts.where(F.col("day_dt").isNotNull()).groupBy(key).agg(F.collect_list(F.struct("day_dt", *names)).alias("_facts"))
-    kind = own.schema["_facts"].dataType
+    kind = T.ArrayType(T.StructType([T.StructField(c, facts.schema[c].dataType) for c in ["day_dt", *names]]))
+    own = facts.where(F.col("day_dt").isNotNull()).groupBy(key).agg(F.collect_list(F.struct("day_dt", *names)).cast(kind).alias("_facts"))
     known = F.filter(F.coalesce("_facts", F.array().cast(kind)), lambda f: f["day_dt"].between(F.col("_first"), F.col("_last")))
     missing = F.array_except(days_from(F.col("_first"), F.col("_last")), F.transform("_known", lambda f: f["day_dt"]))
     empty = F.transform("_missing", lambda d: F.struct(d.alias("day_dt"), *[F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in names]))
