@@ -94,12 +94,24 @@ def salts(spark: SparkSession) -> int:
     return int(spark.conf.get("shelfwise.salts", None) or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4))
 
 
+#: Bytes of files that one task reads at most from a table that is dealt out.
+DEALT_BYTES = 16 * 1024 * 1024
+
+
 def dealt(df: DataFrame) -> DataFrame:
     """A table of fewer input splits than `shelfwise.input.partitions` (default: the cluster's cores) is dealt out.
 
-    A Parquet file is never split below its row groups, so a table of one file would be one task. Tables of many
-    files are read as they are.
+    A Parquet file is never split below its row groups, so a table of one file would be one task. Large tables are dealt
+    over more tasks, one for each 16 MB of their files, so that what a task holds does not grow with the table. Tables
+    of many files are read as they are.
     """
     spark = df.sparkSession
-    wanted = int(spark.conf.get("shelfwise.input.partitions", None) or spark.sparkContext.defaultParallelism)
+    wanted = int(spark.conf.get("shelfwise.input.partitions", None) or max(spark.sparkContext.defaultParallelism, -(-_file_bytes(df) // DEALT_BYTES)))
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
+def _file_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a table is read from."""
+    spark = df.sparkSession
+    places = [spark._jvm.org.apache.hadoop.fs.Path(f) for f in df.inputFiles()]
+    return sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getLen() for p in places)

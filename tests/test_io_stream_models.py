@@ -314,3 +314,14 @@ def test_low_sales_round(spark):
     totals = low_sales_round(table, "2020-03-01", {"v1": ("2020-03-01", "2020-03-10"), "v2": ("2020-03-10", "2020-03-20")}, M.TreeLimits(trees=3, depth=3))
     assert totals.columns == ["item_code", "v1_ttl_quantity", "v1_y_pred", "v2_ttl_quantity", "v2_y_pred"]
     assert rows(totals, "item_code") == ["i0", "i1", "i2"]
+
+
+def test_a_table_is_dealt_by_the_size_of_its_files(spark, tmp_path, monkeypatch):
+    from shelfwise import session
+
+    spark.range(50_000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    df = spark.read.parquet(str(tmp_path / "one"))
+    monkeypatch.setattr(session, "DEALT_BYTES", 4_000)
+    parts = session.dealt(df).rdd.getNumPartitions()
+    assert parts == -(-session._file_bytes(df) // 4_000) > spark.sparkContext.defaultParallelism
+    assert session.dealt(df).count() == 50_000
