@@ -186,3 +186,17 @@ def test_encoded_features(spark):
     coded = build_features(FeatureInputs(inputs.panel, inputs.store, inputs.sales, inputs.product, inputs.offers, codes), "2020-01-01", "2020-01-31", encode=["store_id", "item_code"], min_day="2020-01-01")
     assert "store_id" not in coded.columns
     assert coded.groupBy("item_code_new", "store_id_new").count().where(F.col("store_id_new") == "S5").first()["count"] == 6
+
+
+def test_a_report_of_every_store_sorts_no_rows_of_the_product(spark):
+    from checks.sales_queries import _by_store_day
+
+    items = spark.createDataFrame([("10",), ("9",), (None,), ("9",)], "item_code string")
+    stores = spark.createDataFrame([("5", d("2020-01-01")), ("6", d("2020-01-18"))], "store_id string, loc_start_dt date")
+    sample = N.open_store_days(stores, "2020-01-18", "2020-01-19").unionByName(spark.createDataFrame([(None, "5")], "day_dt date, store_id string"))
+    given = _by_store_day(items, lambda own: N.future_days_given(own, sample, carried=["code"]))
+    assert rows(given) == [("5", None, 3, "10"), ("5", d("2020-01-18"), 3, "10"), ("5", d("2020-01-19"), 3, "10"), ("6", d("2020-01-19"), 3, "10")]
+    made = _by_store_day(items, lambda own: N.future_days_of_open_stores(own, stores, "2020-01-18", "2020-01-19", carried=["code"]))
+    assert rows(made) == rows(given.where("day_dt IS NOT NULL"))
+    for report in (given, made):
+        assert "SortAggregate" not in report._jdf.queryExecution().executedPlan().toString()
