@@ -325,3 +325,27 @@ def test_a_table_is_dealt_by_the_size_of_its_files(spark, tmp_path, monkeypatch)
     parts = session.dealt(df).rdd.getNumPartitions()
     assert parts == -(-session._file_bytes(df) // 4_000) > spark.sparkContext.defaultParallelism
     assert session.dealt(df).count() == 50_000
+
+
+def test_low_sales_days_alike_are_trained_on_once(spark, monkeypatch):
+    from shelfwise.plans import forecast_round as R
+
+    days = [("a", DAY + timedelta(days=i), 9.0 if i % 10 == 0 else 0.0, 4.0, i % 2, 0, 0) for i in range(60)]
+    days += [("b", DAY + timedelta(days=i), 5.0, 2.0 + i % 3, 0, 0, 0) for i in range(60)] + [("b", DAY, None, 7.0, 0, 0, 0)]
+    table = spark.createDataFrame(days, "item_code string, day_dt date, ttl_quantity double, unit_price double, weekday int, day_type int, is_5th int")
+    features = ["unit_price", "weekday", "day_type", "is_5th", "item_code"]
+    merged = M.merge_alike(table.withColumn("weight", F.lit(1.0)), features)
+    assert rows(merged, "item_code", "unit_price", "weekday", "weight", "ttl_quantity", "low", "high") == [
+        ("a", 4.0, 0, 30.0, 1.8, 0.0, 9.0), ("a", 4.0, 1, 30.0, 0.0, 0.0, 0.0),
+        ("b", 2.0, 0, 20.0, 5.0, 5.0, 5.0), ("b", 3.0, 0, 20.0, 5.0, 5.0, 5.0), ("b", 4.0, 0, 20.0, 5.0, 5.0, 5.0), ("b", 7.0, 0, 1.0, None, None, None),
+    ]
+    full, limits = table.where("ttl_quantity IS NOT NULL").withColumn("weight", F.lit(1.0)), M.TreeLimits(trees=4, depth=3)
+    single, alike = (M.train_model(t, full, features, limits) for t in (full, M.merge_alike(full, features)))
+    assert alike.overall == pytest.approx(single.overall) and alike.curve == pytest.approx(single.curve)
+    assert rows(M.score(alike, full), "item_code", "weekday", "y_pred") == [
+        (i, w, pytest.approx(y)) for i, w, y in rows(M.score(single, full), "item_code", "weekday", "y_pred")
+    ]
+    seen = []
+    monkeypatch.setattr(R, "train_model", lambda train, *rest: seen.append(train.count()) or M.train_model(train, *rest))
+    R.low_sales_round(full.drop("weight"), "2020-02-10", {"v1": ("2020-02-11", "2020-02-20"), "v2": ("2020-02-21", "2020-02-28")}, limits)
+    assert seen == [2]
