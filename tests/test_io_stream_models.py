@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
-from shelfwise.operators.split import Splits, with_split
+from shelfwise.operators.split import Splits, eligibility, with_split
 from shelfwise.plans import forecast as M
 from shelfwise.plans.export import result_table
 from shelfwise.plans.features import colocated_features
@@ -349,3 +349,19 @@ def test_low_sales_days_alike_are_trained_on_once(spark, monkeypatch):
     monkeypatch.setattr(R, "train_model", lambda train, *rest: seen.append(train.count()) or M.train_model(train, *rest))
     R.low_sales_round(full.drop("weight"), "2020-02-10", {"v1": ("2020-02-11", "2020-02-20"), "v2": ("2020-02-21", "2020-02-28")}, limits)
     assert seen == [2]
+
+
+def test_the_rows_of_a_round_are_made_once(spark, monkeypatch):
+    from shelfwise.plans import forecast_round as R
+
+    features = ("unit_price", "p_rate", "dis_spring", "loc_selling_area")
+    rows_, offers, lunar, actual = model_inputs(spark)
+    made = model_table(rows_, offers, lunar, actual, ForecastSettings(splits=SPLITS, features=features))
+    assert any("/wanted-" in f for f in made.inputFiles())
+    read = []
+    monkeypatch.setattr(R, "eligibility", lambda table, *rest: read.extend(table.inputFiles()) or eligibility(table, *rest))
+    horizons = (("2020-04-01", "2020-04-05"), ("2020-04-06", "2020-04-10"))
+    settings = ForecastSettings(splits=SPLITS, features=("unit_price",), pass_share=0.75, horizons=horizons, latest_history="2020-02-01")
+    offered = spark.createDataFrame([("i0",), ("i1",), ("i2",)], "item string")
+    R.forecast_round(with_split(round_table(spark), SPLITS), settings, "now", offered, M.TreeLimits(trees=2, depth=2))
+    assert read and all("/model-table-" in f for f in read)
