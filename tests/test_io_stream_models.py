@@ -351,6 +351,21 @@ def test_low_sales_days_alike_are_trained_on_once(spark, monkeypatch):
     assert seen == [2]
 
 
+def test_a_batch_of_a_large_table_arrives_as_several_files(spark, tmp_path, monkeypatch):
+    from checks import table_queries as Q
+    from shelfwise import session
+
+    lines = spark.range(3000).selectExpr("id AS l_orderkey", "id % 7 AS l_partkey", "id % 3 AS l_suppkey", "TIMESTAMP '1998-01-01 00:00:00' AS l_shipdate", "1.0D AS l_quantity")
+    lines.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    made = []
+    monkeypatch.setattr(Q, "DailySalesIngest", lambda *a, **k: made.append((a[1], k["files_per_batch"])) or DailySalesIngest(*a, **k))
+    monkeypatch.setattr(session, "DEALT_BYTES", max(1, session._file_bytes(spark.read.parquet(str(tmp_path / "lineitem.parquet"))) // 18))
+    got = Q.stream_merged_ingest(spark, str(tmp_path))
+    (incoming, files), = made
+    assert files >= 2 and len(spark.read.parquet(incoming).inputFiles()) == 9 * files
+    assert got.count() == 21 and got.agg(F.sum("ttl_quantity")).first()[0] == 3000.0
+
+
 def test_the_rows_of_a_round_are_made_once(spark, monkeypatch):
     from shelfwise.plans import forecast_round as R
 
