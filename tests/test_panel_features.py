@@ -160,6 +160,44 @@ def test_panel_is_not_shuffled_by_store(spark):
     assert not re.search(r"hashpartitioning\(store_id#\d+, \d+\)", plan) and plan.count("BroadcastHashJoin") >= 2
 
 
+def _shuffles(df):
+    """The exchanges of rows in a plan, without the copies of small tables."""
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if " Exchange " in x]
+
+
+def _panel_by_item(spark):
+    calendar = C.calendar_days(spark, "2020-01-06", "2020-01-26")
+    plan = spark.createDataFrame([("1", d("2020-01-06"), "5"), ("1", d("2020-01-13"), "5"), ("2", d("2020-01-06"), "6"), ("1", None, "6")], "item_idnt string, wk_idnt date, loc_idnt string")
+    stores = spark.createDataFrame([("5", d("2019-01-01")), ("6", d("2019-01-01"))], "store_id string, loc_start_dt date")
+    pairs = plan.select(F.col("item_idnt").alias("item_code"), F.col("loc_idnt").alias("store_id"))
+    return N.panel_keys(N.shelf_plan_days(plan, calendar), N.future_days_of_assortment(pairs, stores, "2020-01-18", "2020-01-20"), "2020-01-18")
+
+
+def test_panel_days_are_not_shuffled(spark):
+    panel = _panel_by_item(spark)
+    # planned days, among them two of the future, those of the future and one of an unknown week
+    assert panel.count() == 14 + 7 + 3 * 3 - 2 + 1
+    assert rows(panel.where("day_dt IS NULL"), "item_code", "store_id") == [("1", "6")]
+    # weeks and pairs are placed by item and pairs made distinct; a distinct or a comparison of days would be further ones
+    by_day = [x for x in _shuffles(panel) if "day_dt" in x]
+    assert not by_day and panel.select(*N.PANEL_KEYS).distinct().count() == panel.count()
+
+
+def _features_by_item(spark):
+    inputs = feature_inputs(spark)
+    placed = FeatureInputs(_panel_by_item(spark), inputs.store, inputs.sales, inputs.product, inputs.offers)
+    return build_features(placed, "2020-01-01", "2020-01-31", min_day="2020-01-01"), inputs
+
+
+def test_feature_rows_are_grouped_in_place(spark):
+    table, _ = _features_by_item(spark)
+    grouped = table.groupBy("item_code", "store_id", "loc_wh").agg(F.count(F.lit(1)).alias("n"))
+    # sales and products are placed before they are joined; neither a join nor the groups shuffle the panel's days
+    assert len(_shuffles(grouped)) == len(_shuffles(table))
+    assert not any("store_id" in x for x in _shuffles(grouped))
+    assert rows(grouped) == [("1", "5", "north", 15), ("1", "6", "south", 3), ("2", "6", "south", 10)]
+
+
 def test_future_of_the_assortment(spark):
     pairs = spark.createDataFrame([("1", "5"), ("1", "5"), ("2", "6"), ("2", "7"), ("3", "8")], "item_code string, store_id string")
     stores = spark.createDataFrame([("5", d("2019-01-01")), ("6", d("2020-01-02")), ("7", None), ("8", d("2020-01-04"))], "store_id string, loc_start_dt date")
