@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from shelfwise.operators import calendar as C
 from shelfwise.operators import lookup as L
 from shelfwise.operators import panel as N
+from shelfwise.operators.offers import promotion_stretches, with_stretch_of_day
 from shelfwise.operators.split import Splits
 from shelfwise.plans.alerts import alert_rows, feature_checks, write_with_alerts
-from shelfwise.plans.features import FeatureInputs, add_offer_features, build_features
+from shelfwise.plans.features import FeatureInputs, add_offer_features, build_features, promotion_days
 from shelfwise.plans.pooled import pooled_items, pooled_rows, pooled_sets
 from shelfwise.plans.settings import ForecastSettings
+from shelfwise.session import stage_by_item
 from tests.conftest import rows
 
 
@@ -198,6 +200,40 @@ def test_feature_rows_are_grouped_in_place(spark):
     assert rows(grouped) == [("1", "5", "north", 15), ("1", "6", "south", 3), ("2", "6", "south", 10)]
 
 
+def test_coded_feature_rows_are_grouped_by_item_in_place(spark):
+    table, _ = _features_by_item(spark)
+    codes = spark.createDataFrame([("loc_wh", "N", "north"), ("osd_type", "O", "x")], "code_type string, key_id string, value_id string")
+    coded = L.dictionary_encode_by_maps(table, codes, ["loc_wh", "osd_type"]).groupBy("item_code").agg(F.count("loc_wh_new").alias("n"))
+    # the report adds no exchange of rows; the maps of codes are subqueries
+    dealt, before = ([x for x in _shuffles(df) if "hashpartitioning" in x] for df in (coded, table))
+    assert len(dealt) <= len(before)
+    assert rows(coded) == [("1", 15), ("2", 0)]
+
+
+def test_extra_features_are_found_by_item_in_place(spark):
+    _, inputs = _features_by_item(spark)
+    days = promotion_days(_panel_by_item(spark).where("day_dt IS NOT NULL"), inputs.offers, "2020-01-01", "2020-01-31").withColumn("area_idnt", F.lit("1"))
+    actual = spark.createDataFrame([("1", "1", d("2020-01-06"), 5.0)], "item_code string, area_idnt string, day_dt date, unit_price2 double")
+    extra = add_offer_features(days, inputs.offers, actual, "2020-01-01", "2020-01-31")
+    assert not [x for x in _shuffles(extra) if re.search(r"hashpartitioning\(item_code#\d+, day_dt#\d+, \d", x)]
+    shuffled = [x for x in _shuffles(extra) if "_offer#" in x]
+    plan = extra._jdf.queryExecution().optimizedPlan().toString()
+    # the join by offer is the last one: it is the first in the plan
+    assert plan.index("_offer#") < plan.index("offer_start_date#") and len(shuffled) <= 2
+    assert rows(extra.where("item_code = '1' AND day_dt = '2020-01-06'"), "num_items_in_offer", "day_of_prom", "unit_price2") == [(100, -1, 5.0)]
+
+
+def test_stored_item_days_find_their_stretches_in_place(spark):
+    inputs = feature_inputs(spark)
+    stored = spark.table(stage_by_item(inputs.panel, L.item_parts(spark), "panel"))
+    days = stored.groupBy("item_code", "day_dt").agg(F.count(F.lit(1)).alias("_rows"))
+    stretches = promotion_stretches(inputs.offers, "2020-01-01", "2020-01-31")
+    found = with_stretch_of_day(days, stretches)
+    # the offers are placed by item; their stretches, the stored days and both together are not shuffled
+    assert len(_shuffles(found)) == 1 and "REPARTITION_BY_NUM" in _shuffles(found)[0]
+    assert rows(found, "day_dt", "_rows", "offer_code") == [(d(f"2020-01-0{i}"), 3 if i == 1 else 2, c) for i, c in enumerate([None, "7", "7", "8", "8", None], 1)]
+
+
 def test_future_of_the_assortment(spark):
     pairs = spark.createDataFrame([("1", "5"), ("1", "5"), ("2", "6"), ("2", "7"), ("3", "8")], "item_code string, store_id string")
     stores = spark.createDataFrame([("5", d("2019-01-01")), ("6", d("2020-01-02")), ("7", None), ("8", d("2020-01-04"))], "store_id string, loc_start_dt date")
