@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 from shelfwise.operators import calendar as C
 from shelfwise.operators import lookup as L
 from shelfwise.operators import panel as N
-from shelfwise.operators.offers import promotion_stretches, with_stretch_of_day
+from shelfwise.operators.offers import (
+    promotion_age,
+    promotion_stretches,
+    stored_by_item,
+    with_stretch_of_day,
+)
 from shelfwise.operators.split import Splits
+from shelfwise.operators.stats import fill_with_median
 from shelfwise.plans.alerts import alert_rows, feature_checks, write_with_alerts
 from shelfwise.plans.features import FeatureInputs, add_offer_features, build_features, promotion_days
 from shelfwise.plans.pooled import pooled_items, pooled_rows, pooled_sets
@@ -234,6 +240,69 @@ def test_stored_item_days_find_their_stretches_in_place(spark):
     assert rows(found, "day_dt", "_rows", "offer_code") == [(d(f"2020-01-0{i}"), 3 if i == 1 else 2, c) for i, c in enumerate([None, "7", "7", "8", "8", None], 1)]
 
 
+def test_stored_offers_are_not_shuffled_again(spark):
+    offers = feature_inputs(spark).offers
+    stored = stored_by_item(L.placed_by_item(offers, "item"))
+    for made, want in (
+        (promotion_stretches(stored, "2020-01-01", "2020-01-31", placed=True), promotion_stretches(offers, "2020-01-01", "2020-01-31")),
+        (promotion_age(stored, horizon=("2020-01-01", "2020-01-31"), placed=True), promotion_age(offers, horizon=("2020-01-01", "2020-01-31"))),
+    ):
+        assert _shuffles(made) == [] and rows(made, *sorted(made.columns)) == rows(want, *sorted(want.columns))
+
+
+def test_medians_of_one_key_leave_the_rows_where_they_lie(spark):
+    data = spark.createDataFrame([("1", 1.0), ("1", 3.0), ("1", None), ("2", None), (None, 5.0), (None, None)], "item_code string, v double")
+    stored = spark.table(stage_by_item(data, L.item_parts(spark), "rows", order=["item_code"]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        filled = fill_with_median(stored, ["item_code"], "v")
+        # the medians are placed by item; the rows are not, and rows without a key get the median of those
+        assert len(_shuffles(filled)) == 1 and "isnull" not in _shuffles(filled)[0]
+        assert filled.columns == ["item_code", "v"]
+        assert rows(filled) == [(None, 5.0), (None, 5.0), ("1", 1.0), ("1", 2.0), ("1", 3.0), ("2", None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_given_tables_are_placed_by_item_once(spark, tmp_path):
+    from checks import tables as t
+
+    lines = [(o, p, s, n, q, 7.5 * q, 0.1, d(f"1998-03-{day:02d}"), "N", "O") for o, p, s, n, q, day in [(1, 1, 5, 1, 2.0, 2), (1, 1, 5, 1, 2.0, 2), (2, 1, 5, 2, 3.0, 3), (2, 2, 6, 4, 4.0, 9), (3, None, 5, 6, 1.0, 9), (4, 2, None, 7, 1.0, 9), (None, 2, 5, 3, 2.0, 9), (9, 3, 5, 3, 2.0, 9)]]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_shipdate date, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(lines, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(k, d("1998-02-01"), "1-URGENT") for k in (1, 2, 3, 4, 5, 11)], "o_orderkey long, o_orderdate date, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1, 9.0), (2, 8.0), (7, 1.0)], "p_partkey long, p_retailprice double").write.parquet(str(tmp_path / "part.parquet"))
+    for made, key in ((t.offers, "item"), (t.sales, "item_code"), (t.shelf_plan, "item_idnt")):
+        placed, want = made(spark, str(tmp_path), by_item=True), made(spark, str(tmp_path))
+        assert rows(placed, *placed.columns) == rows(want, *placed.columns) and placed.columns == want.columns and want.count() > 3
+        # they lie by item: what groups them by item shuffles nothing more
+        assert len(_shuffles(placed.groupBy(key).agg(F.count(F.lit(1))))) == len(_shuffles(placed))
+
+
+def test_panel_of_a_stored_plan_is_made_in_place(spark):
+    calendar = C.calendar_days(spark, "2020-01-06", "2020-01-26")
+    plan = spark.createDataFrame([("1", d("2020-01-06"), "5"), ("1", d("2020-01-13"), "5"), ("2", d("2020-01-06"), "6"), ("1", None, "6"), (None, d("2020-01-06"), "6")], "item_idnt string, wk_idnt date, loc_idnt string")
+    stores = spark.createDataFrame([("5", d("2019-01-01")), ("6", d("2019-01-01"))], "store_id string, loc_start_dt date")
+
+    def panel(weeks, placed):
+        pairs = weeks.select(F.col("item_idnt").alias("item_code"), F.col("loc_idnt").alias("store_id"))
+        future = N.future_days_of_assortment(pairs, stores, "2020-01-18", "2020-01-20", placed=placed)
+        return N.panel_keys(N.shelf_plan_days(weeks, calendar, placed=placed), future, "2020-01-18")
+
+    stored = spark.table(stage_by_item(L.placed_by_item(plan, "item_idnt"), L.item_parts(spark), "plan", "item_idnt"))
+    made = panel(stored, True)
+    assert not _shuffles(made) and rows(made) == rows(panel(plan, False))
+
+
+def test_feature_rows_of_placed_inputs_are_the_same(spark):
+    inputs = feature_inputs(spark)
+    placed = FeatureInputs(inputs.panel, inputs.store, L.placed_by_item(inputs.sales), inputs.product, stored_by_item(L.placed_by_item(inputs.offers, "item")), placed=True)
+    made, want = (build_features(x, "2020-01-01", "2020-01-31", min_day="2020-01-01", offer_features=(100, -1)) for x in (placed, inputs))
+    columns = sorted(made.drop("outputs").columns)
+    assert rows(made, *columns) == rows(want, *columns) and made.count() == 12
+
+
 def test_future_of_the_assortment(spark):
     pairs = spark.createDataFrame([("1", "5"), ("1", "5"), ("2", "6"), ("2", "7"), ("3", "8")], "item_code string, store_id string")
     stores = spark.createDataFrame([("5", d("2019-01-01")), ("6", d("2020-01-02")), ("7", None), ("8", d("2020-01-04"))], "store_id string, loc_start_dt date")
