@@ -11,6 +11,8 @@ from shelfwise.operators.offers import (
     promotion_age,
     promotion_stretches,
     stored_by_item,
+    with_offer_size,
+    with_offer_size_of_item,
     with_stretch_of_day,
 )
 from shelfwise.operators.split import Splits
@@ -20,6 +22,7 @@ from shelfwise.plans.features import FeatureInputs, add_offer_features, build_fe
 from shelfwise.plans.pooled import pooled_items, pooled_rows, pooled_sets
 from shelfwise.plans.settings import ForecastSettings
 from shelfwise.session import stage_by_item
+from shelfwise.sources.readers import colocated_session
 from tests.conftest import rows
 
 
@@ -295,6 +298,18 @@ def test_panel_of_a_stored_plan_is_made_in_place(spark):
     assert not _shuffles(made) and rows(made) == rows(panel(plan, False))
 
 
+def test_offer_sizes_are_found_without_a_shuffle_of_the_rows(spark):
+    days = [("1", d("2020-01-01"), "7"), ("1", d("2020-01-02"), "7"), ("1", d("2020-01-03"), None), ("2", d("2020-01-01"), "8"), ("2", d("2020-01-01"), "8"), (None, d("2020-01-01"), "7"), (None, d("2020-01-02"), None), ("3", d("2020-01-01"), "9")]
+    data = spark.createDataFrame(days, "item_code string, day_dt date, offer_code string")
+    sizes = spark.createDataFrame([("7", 4), ("8", 2), ("0", 1), (None, 6)], "offer_code string, num_items_in_offer long")
+    stored = colocated_session(spark).table(stage_by_item(data, L.item_parts(spark), "rows"))
+    sized = with_offer_size_of_item(stored, sizes, stored)
+    assert rows(sized) == rows(with_offer_size(data, sizes)) and sized.columns == with_offer_size(data, sizes).columns
+    plan = sized._jdf.queryExecution().executedPlan().toString().splitlines()
+    joined = next(i for i, x in enumerate(plan) if "SortMergeJoin [item_code#" in x)
+    assert "Sort [item_code#" in plan[joined + 1] and "Exchange" not in plan[joined + 2]
+
+
 def test_feature_rows_of_placed_inputs_are_the_same(spark):
     inputs = feature_inputs(spark)
     placed = FeatureInputs(inputs.panel, inputs.store, L.placed_by_item(inputs.sales), inputs.product, stored_by_item(L.placed_by_item(inputs.offers, "item")), placed=True)
