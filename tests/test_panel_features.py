@@ -318,6 +318,16 @@ def test_feature_rows_of_placed_inputs_are_the_same(spark):
     assert rows(made, *columns) == rows(want, *columns) and made.count() == 12
 
 
+def test_what_is_written_takes_little_room(spark, tmp_path):
+    table = feature_inputs(spark).sales
+    write_with_alerts(table, str(tmp_path / "t"), feature_checks(["item_code"]))
+    name = stage_by_item(table, 2, "rows", order=["item_code", "day_dt"])
+    for files in ([x.name for x in (tmp_path / "t").iterdir()], spark.table(name).inputFiles()):
+        parts = [x for x in files if x.endswith(".parquet")]
+        assert parts and all("zstd" in x for x in parts)
+    assert rows(spark.table(name)) == rows(table)
+
+
 def test_future_of_the_assortment(spark):
     pairs = spark.createDataFrame([("1", "5"), ("1", "5"), ("2", "6"), ("2", "7"), ("3", "8")], "item_code string, store_id string")
     stores = spark.createDataFrame([("5", d("2019-01-01")), ("6", d("2020-01-02")), ("7", None), ("8", d("2020-01-04"))], "store_id string, loc_start_dt date")
