@@ -6,6 +6,7 @@ a set takes over the answers of the set it is most alike.
 """
 
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 from fractions import Fraction
 
 import numpy as np
@@ -17,8 +18,12 @@ from shelfwise.llm.common import row_id, ship, shuffle_partitions, stage, whole_
 from shelfwise.llm.components import components
 from shelfwise.llm.shingles import Shingler, mixed, set_digest
 
-#: Shingles are counted in so many slots, a fixed 4 MB, to take rare ones first; any order gives right results.
-SLOT_BITS, SLOTS_PER_ROW = 20, 4096
+#: Shingles and words are counted in so many slots, a fixed 5 MB, to take rare ones first; any order gives right results.
+SLOT_BITS, WORD_BITS, SLOTS_PER_ROW = 20, 18, 4096
+#: Shingles that are frequent among prefixes are marked in so many bits, a fixed 4 MB.
+FREQUENT_BITS = 25
+#: Logarithms of counts are taken in so many steps for each factor of two: whole numbers, so that all tasks order alike.
+LOG_STEPS = 64
 #: Sets, and shingles in them, that one task joins with each other; at most about twice so many.
 BLOCK_SETS, BLOCK_SHINGLES = 2048, 1_000_000
 #: Prefixes are so much longer than needed to share one token that linked sets share this many, or all they must.
@@ -39,15 +44,24 @@ def _prefix(n: int, num: int, den: int) -> int:
     return n - -(-n * num // den) + 1
 
 
+def _slots() -> int:
+    """Slots of shingles and, behind them, of words."""
+    return (1 << SLOT_BITS) + (1 << WORD_BITS)
+
+
+def _slot_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def _slot_counts(width: int):
-    """For each task, how often its documents' shingles fall in each slot."""
+    """For each task, how often its documents' shingles and words fall in each slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts = Shingler(width), np.zeros(1 << SLOT_BITS, np.int64)
+        shingler, counts = Shingler(width), np.zeros(_slots(), np.int64)
         for batch in batches:
-            slots = [s >> np.uint64(64 - SLOT_BITS) for s in shingler.of_texts(batch.column("text").to_pylist())]
-            if slots:
-                counts += np.bincount(np.concatenate(slots).astype(np.int64), minlength=1 << SLOT_BITS)
+            found = [(_slot_of(own, SLOT_BITS), _slot_of(words, WORD_BITS) + (1 << SLOT_BITS)) for own, words, _ in shingler.with_words(batch.column("text").to_pylist())]
+            if found:
+                counts += np.bincount(np.concatenate([s for both in found for s in both]), minlength=_slots())
         if counts.any():
             rows = counts.reshape(-1, SLOTS_PER_ROW)
             yield pa.RecordBatch.from_arrays(
@@ -70,34 +84,108 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def slot_counts(texts: DataFrame, width: int) -> np.ndarray:
-    """Counts of all documents' shingles by slot: 8 MB at the driver, whatever the corpus."""
+    """Counts of all documents' shingles by slot, then of their words: 10 MB at the driver, whatever the corpus."""
     schema = "part int, counts binary"
-    parts = (1 << SLOT_BITS) // SLOTS_PER_ROW
+    parts = _slots() // SLOTS_PER_ROW
     rows = texts.select("text").mapInArrow(_slot_counts(width), schema)
     rows = rows.repartition(min(parts, shuffle_partitions(texts.sparkSession)), "part").mapInArrow(_summed, schema)
     out = np.zeros((parts, SLOTS_PER_ROW), np.int64)
     for row in rows.collect():
         out[row["part"]] = np.frombuffer(row["counts"], "<i8")
-    return np.minimum(out.ravel(), np.iinfo(np.int32).max).astype(np.int32)
+    return out.ravel()
+
+
+@dataclass(frozen=True)
+class Rarity:
+    """What orders shingles by an estimate of how often they occur, the same in all tasks.
+
+    A slot's count is the most that a shingle of it can occur; what the count has beyond that of usual slots and their
+    scatter, the least that one of them does. In a large corpus all slots are full and these are far apart; between them
+    goes how often the shingle's words would stand together by chance, from counts of words, of which a corpus has far
+    fewer than shingles. Where that is wrong, a shingle of many sets comes among the first: those that are found there
+    are marked in `frequent`, 64 to a number, and come last.
+    """
+
+    most: np.ndarray
+    least: np.ndarray
+    words: np.ndarray
+    all_words: int
+    frequent: np.ndarray | None = None
+
+    @staticmethod
+    def of_counts(counts: np.ndarray) -> "Rarity":
+        shingles, words = counts[: 1 << SLOT_BITS].astype(float), counts[1 << SLOT_BITS :]
+        usual = float(np.median(shingles))
+        beyond = shingles - usual - 3 * usual**0.5
+        return Rarity(_log_steps(shingles), np.where(beyond > 0, _log_steps(beyond), np.iinfo(np.int16).min).astype(np.int16), _log_steps(words), int(_log_steps(words.sum())))
+
+    def of(self, own: np.ndarray, words: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
+        """The estimates, in steps of a logarithm, of a text's shingles; `first` is the place of each one's first word."""
+        width = min(width, len(words))
+        sums = np.concatenate([[0], np.cumsum(self.words[_slot_of(words, WORD_BITS)], dtype=np.int64)])
+        slots = _slot_of(own, SLOT_BITS)
+        chance = sums[first + width] - sums[first] - (width - 1) * self.all_words
+        found = np.minimum(np.maximum(chance, self.least[slots]), self.most[slots])
+        return found if self.frequent is None else found + (_marked(self.frequent, own) << 32)
+
+
+def _marked(frequent: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """1 for shingles whose bit is set, 0 for the others."""
+    bits = _slot_of(own, FREQUENT_BITS)
+    return (frequent[bits >> 6] >> (bits & 63)) & 1
+
+
+def _log_steps(counts: np.ndarray) -> np.ndarray:
+    return np.round(LOG_STEPS * np.log2(np.maximum(counts, 1.0))).astype(np.int16)
+
+
+def _first_shingles(shingler: Shingler, rarity: Rarity, texts: list[bytes], num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each text the set and its prefix."""
+    for own, words, first in shingler.with_words(texts):
+        if len(own):
+            # stable sort: ties stay in the order of the hashes
+            rare = np.argsort(rarity.of(own, words, first, shingler.width), kind="stable")
+            yield own, own[rare[: _prefix(len(own), num, den) + SHARED - 1]].view(np.int64)
+        else:
+            yield own, own.view(np.int64)
+
+
+def _prefix_counts(width: int, num: int, den: int, shared):
+    """For each batch, how many of its texts have a shingle in their prefix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(width)
+        for batch in batches:
+            prefixes = [prefix for _, prefix in _first_shingles(shingler, shared.value, batch.column("text").to_pylist(), num, den)]
+            if prefixes:
+                tokens, n = np.unique(np.concatenate(prefixes), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(n)], names=["token", "n"])
+
+    return run
+
+
+def frequent_shingles(texts: DataFrame, width: int, num: int, den: int, shared) -> np.ndarray:
+    """A bit for every shingle that stands in the prefixes of more than PAIRED texts: 4 MB at the driver, whatever the corpus."""
+    counts = texts.select("text").mapInArrow(_prefix_counts(width, num, den, shared), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    place = F.shiftrightunsigned("token", 64 - FREQUENT_BITS).cast("int")
+    bits = counts.where(F.col("n") > PAIRED).select(place.alias("place")).selectExpr("place >> 6 AS place", "shiftleft(1L, place & 63) AS bit")
+    marks = bits.groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (FREQUENT_BITS - 6), np.int64)
+    out[marks["place"].to_numpy()] = marks["bits"].to_numpy()
+    return out
 
 
 def _describe(width: int, num: int, den: int, shared):
     """Per document: size and digest of its set and the set's prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts = Shingler(width), shared.value
+        shingler = Shingler(width)
         for batch in batches:
             sizes, digests, prefixes = [], [], []
-            for own in shingler.of_texts(batch.column("text").to_pylist()):
+            for own, prefix in _first_shingles(shingler, shared.value, batch.column("text").to_pylist(), num, den):
                 sizes.append(len(own))
-                if len(own):
-                    digests.append(set_digest(own))
-                    # stable sort: ties stay in the order of the hashes
-                    rare = np.argsort(counts[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
-                    prefixes.append(own[rare[: _prefix(len(own), num, den) + SHARED - 1]].view(np.int64))
-                else:
-                    digests.append(0)
-                    prefixes.append(own.view(np.int64))
+                digests.append(set_digest(own) if len(own) else 0)
+                prefixes.append(prefix)
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -348,7 +436,9 @@ def jaccard_classes(docs: DataFrame, width: int, threshold: str) -> DataFrame:
     part = Fraction(threshold)
     num, den = part.numerator, part.denominator
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_id().alias("rid"), F.xxhash64(whole_text()).alias("row"), whole_text().cast("binary").alias("text"))
-    shared = spark.sparkContext.broadcast(slot_counts(texts, width))
+    rarity = Rarity.of_counts(slot_counts(texts, width))
+    frequent = frequent_shingles(texts, width, num, den, spark.sparkContext.broadcast(rarity))
+    shared = spark.sparkContext.broadcast(replace(rarity, frequent=frequent))
     described = stage(texts.mapInArrow(_describe(width, num, den, shared), "doc_id long, rid long, row long, n long, sid long, prefix array<long>"), "sets")
     full = described.where("n > 0")
     # a class's prefix does not depend on the row that gives it

@@ -98,6 +98,11 @@ class Shingler:
 
     def of_texts(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """The sets of the texts, in order."""
+        for own, _, _ in self.with_words(texts):
+            yield own
+
+    def with_words(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The sets of the texts, in order, each with the hashes of the text's words and the place of each shingle's first word."""
         held: list[bytes] = []
         size = 0
         for text in texts:
@@ -109,16 +114,18 @@ class Shingler:
         if held:
             yield from self._of_piece(held)
 
-    def _of_piece(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+    def _of_piece(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         starts, words = self._words(b" ".join(texts))
         windows = self._windows(words, self.width)
         ends = np.cumsum([len(t) + 1 for t in texts])
         bounds = np.concatenate([[0], np.searchsorted(starts, ends)])
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if b - a >= self.width:
-                yield np.unique(windows[a : b - self.width + 1])
+                own, first = np.unique(windows[a : b - self.width + 1], return_index=True)
+                yield own, words[a:b], first
             else:
-                yield self._windows(words[a:b], b - a) if b > a else words[:0]
+                own = self._windows(words[a:b], b - a) if b > a else words[:0]
+                yield own, words[a:b], np.zeros(len(own), np.int64)
 
 
 def set_digest(shingles: np.ndarray) -> int:

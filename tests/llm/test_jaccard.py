@@ -1,6 +1,8 @@
 import random
 from fractions import Fraction
 
+import numpy as np
+
 from shelfwise.llm import jaccard_join as J
 from shelfwise.llm.components import components
 
@@ -106,3 +108,33 @@ def test_components(spark):
                 root[x] = merged
     assert found == {k: min(v) for k, v in root.items()}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_words_tell_rare_shingles_where_slots_are_full():
+    """A slot's count says little once all are full; before, such shingles came in the order of their hashes."""
+    shingler, text = J.Shingler(3), b"the of and the of and zebra and of the and of the"
+    (own, words, first), = shingler.with_words([text])
+    counts = np.full(J._slots(), 900, np.int64)
+    counts[(1 << J.SLOT_BITS) + J._slot_of(words, J.WORD_BITS)] = 50_000_000
+    counts[(1 << J.SLOT_BITS) + J._slot_of(words[6:7], J.WORD_BITS)] = 40
+    found = J.Rarity.of_counts(counts).of(own, words, first, 3)
+    with_zebra = np.isin(first, [4, 5, 6])
+    assert found[with_zebra].max() < found[~with_zebra].min()
+    counts[J._slot_of(own[:1], J.SLOT_BITS)] = 2  # no shingle is more frequent than its slot
+    counts[J._slot_of(own[1:2], J.SLOT_BITS)] = 1900  # one far beyond all others is frequent whatever its words
+    found = J.Rarity.of_counts(counts).of(own, words, first, 3)
+    assert found[0] <= J.LOG_STEPS and found[1] >= J.LOG_STEPS * 9
+
+
+def test_frequent_shingles_leave_the_prefixes(spark, make, monkeypatch):
+    """With full slots a common passage ties unlike sets, until what is frequent among prefixes comes last."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(k, f"{' '.join(f'd{k}w{i}' for i in range(90))} {passage}") for k in range(60)]
+    rows += [(100, rows[0][1] + " end"), (101, rows[7][1] + " end")]
+    largest, dealt = [], J._dealt
+    monkeypatch.setattr(J, "slot_counts", lambda texts, width: np.full(J._slots(), 1000, np.int64))
+    monkeypatch.setattr(J, "_dealt", lambda clusters: largest.append(clusters.groupBy("cluster").count().agg({"count": "max"}).first()[0]) or dealt(clusters))
+    assert got(make(rows), 3, "0.9") == brute(rows, 3, "0.9")
+    monkeypatch.setattr(J, "frequent_shingles", lambda *args: np.zeros(1 << (J.FREQUENT_BITS - 6), np.int64))
+    assert got(make(rows), 3, "0.9") == brute(rows, 3, "0.9")
+    assert largest[0] <= 4 < J.PAIRED < largest[1]
