@@ -366,6 +366,19 @@ def test_a_batch_of_a_large_table_arrives_as_several_files(spark, tmp_path, monk
     assert got.count() == 21 and got.agg(F.sum("ttl_quantity")).first()[0] == 3000.0
 
 
+def test_the_last_batch_is_taken_twice_with_its_rows(spark, tmp_path, monkeypatch):
+    from checks import table_queries as Q
+
+    lines = spark.range(900).selectExpr("nullif(id, 5) AS l_orderkey", "id % 7 AS l_partkey", "id % 3 AS l_suppkey", "TIMESTAMP '1998-01-01 00:00:00' AS l_shipdate", "1.0D AS l_quantity")
+    lines.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    taken, take = [], DailySalesIngest._take_batch
+    monkeypatch.setattr(DailySalesIngest, "_take_batch", lambda self, batch, k: taken.append((k, batch.count())) or take(self, batch, k))
+    got = Q.stream_merged_ingest(spark, str(tmp_path))
+    again = [n for k, n in taken if k == 9]
+    assert len(again) == 2 and again[0] == again[1] > 0
+    assert sum(n for _, n in taken) - again[0] == 900 == got.agg(F.sum("ttl_quantity")).first()[0]
+
+
 def test_the_rows_of_a_round_are_made_once(spark, monkeypatch):
     from shelfwise.plans import forecast_round as R
 
