@@ -16,6 +16,7 @@ from shelfwise.operators.encode import ordinal_codes
 from shelfwise.operators.offers import promotion_calendar, stored_by_item
 from shelfwise.plans.features import FeatureInputs, add_offer_features, build_features, promotion_days
 from shelfwise.session import stage_by_item, stage_table
+from shelfwise.sources.readers import colocated_session
 
 _DAILY = """SELECT prd_id AS item_code, CAST(transaction_date AS DATE) AS day_dt,
         coalesce(deliver_storeid, CAST(order_store AS VARCHAR), CAST(loc_idnt AS VARCHAR)) AS store_id,
@@ -318,9 +319,13 @@ def extra_features(spark: SparkSession, d: str) -> DataFrame:
     ("best", "sales"),
 )
 def promotion_sales_report(spark: SparkSession, d: str) -> DataFrame:
-    """Flagship: daily best offer of every item, joined to its sales, as a daily report."""
-    best = promotion_calendar(t.offers(spark, d), *OFFER_SPAN).select(F.col("item").alias("item_code"), "day_dt", "unit_price", "p_rate")
-    joined = best.join(t.sales(spark, d), ["item_code", "day_dt"], "left")
+    """Flagship: daily best offer of every item, joined to its sales, as a daily report.
+
+    Offers and sales are placed by item while they are lines; days, sales and report stay there.
+    """
+    session = colocated_session(spark)
+    best = promotion_calendar(stored_offers(session, d), *OFFER_SPAN, placed=True).select(F.col("item").alias("item_code"), "day_dt", "unit_price", "p_rate")
+    joined = best.join(t.sales(session, d, by_item=True).hint("merge"), ["item_code", "day_dt"], "left")
     report = joined.groupBy("item_code", "day_dt").agg(
         F.sum("ttl_quantity").alias("ttl_quantity"),
         F.avg("unit_price").alias("unit_price"),

@@ -133,13 +133,14 @@ def best_offer(rows: DataFrame, keys: Sequence[str], whole_row: bool = False) ->
 
 
 def promotion_calendar(
-    offers: DataFrame, start: str | date, end: str | date, whole_row: bool = False
+    offers: DataFrame, start: str | date, end: str | date, whole_row: bool = False, placed: bool = False
 ) -> DataFrame:
     """The best offer of every item and day, with its discount rate.
 
-    The choice is made once per stretch of days with the same offers and expanded to days afterwards.
+    The choice is made once per stretch of days with the same offers and expanded to days afterwards. Offers that are `placed`
+    lie by item, as `stored_by_item` gives them, and so do the days then.
     """
-    return segment_days(promotion_stretches(offers, start, end, whole_row))
+    return segment_days(promotion_stretches(offers, start, end, whole_row, placed))
 
 
 def promotion_stretches(

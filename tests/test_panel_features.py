@@ -9,6 +9,7 @@ from shelfwise.operators import lookup as L
 from shelfwise.operators import panel as N
 from shelfwise.operators.offers import (
     promotion_age,
+    promotion_calendar,
     promotion_stretches,
     stored_by_item,
     with_offer_size,
@@ -253,6 +254,21 @@ def test_stored_offers_are_not_shuffled_again(spark):
         assert _shuffles(made) == [] and rows(made, *sorted(made.columns)) == rows(want, *sorted(want.columns))
 
 
+def test_days_of_the_best_offer_meet_sales_in_place(spark):
+    session = colocated_session(spark)
+    offers = feature_inputs(spark).offers
+    own = session.createDataFrame(offers.collect(), offers.schema)
+    best = promotion_calendar(stored_by_item(L.placed_by_item(own, "item")), "2020-01-01", "2020-01-31", placed=True).withColumnRenamed("item", "item_code")
+    sold = session.createDataFrame([("1", "5", d("2020-01-02"), 3.0), ("1", "6", d("2020-01-02"), 4.0), ("9", "6", d("2020-01-02"), 4.0)], "item_code string, store_id string, day_dt date, ttl_quantity double")
+    sales = L.placed_by_item(sold).groupBy(*N.PANEL_KEYS).agg(F.sum("ttl_quantity").alias("ttl_quantity"))
+    report = best.join(sales.hint("merge"), ["item_code", "day_dt"], "left").groupBy("item_code", "day_dt").agg(F.sum("ttl_quantity").alias("q"), F.max("offer_code").alias("offer_code"))
+    # only the sales' lines are placed; no day, sum or report is shuffled
+    assert len(_shuffles(report)) == 1 and "REPARTITION_BY_NUM" in _shuffles(report)[0]
+    usual = promotion_calendar(offers, "2020-01-01", "2020-01-31")
+    assert rows(report, "item_code", "day_dt", "offer_code") == rows(usual, "item", "day_dt", "offer_code")
+    assert rows(report.where("q IS NOT NULL"), "item_code", "day_dt", "q") == [("1", d("2020-01-02"), 7.0)]
+
+
 def test_medians_of_one_key_leave_the_rows_where_they_lie(spark):
     data = spark.createDataFrame([("1", 1.0), ("1", 3.0), ("1", None), ("2", None), (None, 5.0), (None, None)], "item_code string, v double")
     stored = spark.table(stage_by_item(data, L.item_parts(spark), "rows", order=["item_code"]))
