@@ -154,8 +154,12 @@ def stored_offers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _panel(spark: SparkSession, d: str) -> DataFrame:
-    future = _future(spark, d)
-    return N.base_panel(_history(spark, d), future, t.calendar(spark), FUTURE[0])
+    """The panel for reports of stores: the plan is stored by store, its days are made, compared and grouped by store where they lie."""
+    order = ["loc_idnt", "item_idnt", "wk_idnt"]
+    plan = spark.table(stage_by_item(t.shelf_plan(spark, d, place="loc_idnt"), L.item_parts(spark), "shelf_plan", "loc_idnt", order))
+    pairs = plan.select(F.col("item_idnt").alias("item_code"), F.col("loc_idnt").alias("store_id"))
+    future = N.future_days_of_assortment(pairs, t.store(spark, d), *FUTURE, placed=True)
+    return N.base_panel(N.shelf_plan_days(plan, t.calendar(spark), placed=True), future, t.calendar(spark), FUTURE[0])
 
 
 def _by_store_day(items: DataFrame, future: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -329,14 +329,15 @@ TABLES["shelf_plan"] = (
 )
 
 
-def shelf_plan(spark: SparkSession, sf_dir: str, by_item: bool = False) -> DataFrame:
-    """Weeks of items in stores. With `by_item` they are placed by item, once, and made distinct where they lie."""
-    weeks = table(spark, sf_dir, "lineitem", deal=not by_item).select(
+def shelf_plan(spark: SparkSession, sf_dir: str, by_item: bool = False, place: str | None = None) -> DataFrame:
+    """Weeks of items in stores. With `by_item` they are placed by item, or by the column `place`, once, and made distinct where they lie."""
+    place = "item_idnt" if by_item else place
+    weeks = table(spark, sf_dir, "lineitem", deal=place is None).select(
         F.col("l_partkey").cast("string").alias("item_idnt"),
         F.to_date(F.date_trunc("week", "l_shipdate")).alias("wk_idnt"),
         F.col("l_suppkey").cast("string").alias("loc_idnt"),
     )
-    return (placed_by_item(weeks, "item_idnt") if by_item else weeks).distinct()
+    return (placed_by_item(weeks, place) if place else weeks).distinct()
 
 
 def split_sql(splits: Splits) -> str:

@@ -384,3 +384,24 @@ def test_a_report_of_every_store_sorts_no_rows_of_the_product(spark):
     assert rows(made) == rows(given.where("day_dt IS NOT NULL"))
     for report in (given, made):
         assert "SortAggregate" not in report._jdf.queryExecution().executedPlan().toString()
+
+
+def test_panel_of_stores_is_made_and_reported_in_place(spark, tmp_path):
+    from checks import QUERIES
+
+    tables = {
+        "lineitem": "SELECT * FROM VALUES (1L, 5L, TIMESTAMP '2000-12-05 00:00:00'), (1L, 5L, TIMESTAMP '2000-12-06 00:00:00'), (2L, 5L, TIMESTAMP '2001-01-02 00:00:00'), (3L, 10L, null) AS t(l_partkey, l_suppkey, l_shipdate)",
+        "supplier": "SELECT * FROM VALUES (5L, 1L, 2.0D), (10L, 1L, 3.0D) AS t(s_suppkey, s_nationkey, s_acctbal)",
+        "nation": "SELECT 1L AS n_nationkey, 'N' AS n_name, 1L AS n_regionkey",
+        "region": "SELECT 1L AS r_regionkey, 'R' AS r_name",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    report = QUERIES["panel_union_distinct"](spark, str(tmp_path))
+    # weeks are placed by store when they are stored; days are not shuffled, neither for repeats nor for the report
+    assert not [x for x in _shuffles(report) if "day_dt" in x or "item_code" in x]
+    found = rows(report, "store_id", "day_dt", "n_items", "first_item")
+    # a week of December, a week of January whose days the future of both items has as well, from the 26th of December on store 5 is open
+    assert [r[2:] for r in found if r[1] and r[0] == "5" and r[1] < d("2000-12-20")] == [(1, "1")] * 7
+    assert [(r[1].day, *r[2:]) for r in found if r[0] == "5" and r[1] and r[1] >= d("2001-01-01")] == [(i, 2, "1") for i in range(1, 15)]
+    assert [r for r in found if r[1] is None] == [("10", None, 1, "3")]
